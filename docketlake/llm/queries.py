@@ -22,12 +22,44 @@ def p1_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return surviving_records(table(spark, sf_dir, "observations"), table(spark, sf_dir, "extraction_results"))
 
 
+def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from docketlake.llm.scans import noisy_lines
+
+    return noisy_lines(table(spark, sf_dir, "captured_texts"), table(spark, sf_dir, "captured_sources"))
+
+
+def p2_paragraphs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from docketlake.llm.scans import repaired_paragraphs
+
+    return repaired_paragraphs(table(spark, sf_dir, "captured_texts"), table(spark, sf_dir, "captured_sources"))
+
+
 def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     from docketlake.llm.history import repeated_in_history
 
     return repeated_in_history(table(spark, sf_dir, "digger_artifacts"), table(spark, sf_dir, "captured_sources"))
 
 
+def _web_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from docketlake.llm.boilerplate import web_pages
+
+    return web_pages(table(spark, sf_dir, "captured_texts"), table(spark, sf_dir, "captured_sources"), table(spark, sf_dir, "digger_artifacts"))
+
+
+def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from docketlake.llm.boilerplate import label_lines, train
+
+    pages = _web_pages(spark, sf_dir)
+    return label_lines(pages, train(pages)).where("not body").select("source_id", "line_no")
+
+
+def p4_body(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from docketlake.llm.boilerplate import main_text, train
+
+    pages = _web_pages(spark, sf_dir)
+    return main_text(pages, train(pages))
+
+
 def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     from docketlake.llm.pieces import oversized
 
@@ -108,6 +140,6 @@ def p10_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return text_statistics(table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (p1_found, p1_records, p3_found, p5_found, p5_pieces, p6_found, p6_agreement, p6_reliability, p7_found, p7_matches, p7_unmatched, p8_ids, p9_found, p9_spans, p10_found, p10_statistics)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (p1_found, p1_records, p2_found, p2_paragraphs, p3_found, p4_found, p4_body, p5_found, p5_pieces, p6_found, p6_agreement, p6_reliability, p7_found, p7_matches, p7_unmatched, p8_ids, p9_found, p9_spans, p10_found, p10_statistics)}
 
 SQL: dict[str, str] = {}
