@@ -53,7 +53,7 @@ def ship_package(spark: SparkSession) -> None:
     import zipfile
 
     sc = spark.sparkContext
-    if sc.master.startswith("local[") or sc.master == "local" or getattr(sc, "_docketlake_shipped", False):
+    if getattr(sc, "_docketlake_shipped", False):
         return
     root = os.path.dirname(os.path.abspath(__file__))
     target = os.path.join(tempfile.mkdtemp(prefix="docketlake-"), "docketlake.zip")
