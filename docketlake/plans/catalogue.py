@@ -1,5 +1,8 @@
 """All queries of the core and their DuckDB SQL."""
 
-FLAGSHIP = "smoke"
-QUERIES = {"smoke": lambda spark, d: spark.read.parquet(f"{d}/region.parquet")}
-SQL = {"smoke": "select * from region"}
+from docketlake.plans import q_shape, q_votes
+
+_PARTS = (q_shape, q_votes)
+FLAGSHIP = "agg_metrics"
+QUERIES = {name: q for part in _PARTS for name, q in part.R.queries.items()}
+SQL = {name: s for part in _PARTS for name, s in part.R.sql.items()}
