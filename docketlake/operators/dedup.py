@@ -94,13 +94,12 @@ def redundant_features(df: DataFrame, bucket: Sequence[str], feature: str, ranki
     """Rows that survive when a bucket with two or more ranked features keeps only the most authoritative one."""
     rank = F.array_position(F.array(*(F.lit(r) for r in ranking)), F.col(feature))
     ranked = df.withColumn("_rank", F.when(rank > 0, rank))
-    top = ranked.groupBy(*bucket).agg(F.min("_rank").alias("_top"), F.size(F.collect_set("_rank")).alias("_kinds"))
-    same = [ranked[c].eqNullSafe(top[c]) for c in bucket]
-    condition = same[0]
-    for s in same[1:]:
-        condition = condition & s
-    joined = ranked.join(top, condition)
-    return joined.where("_rank is null or _kinds < 2 or _rank = _top").select(*(ranked[c] for c in df.columns))
+    names = [f"_b{i}" for i in range(len(bucket))]
+    top = ranked.groupBy(*(F.col(c).alias(n) for n, c in zip(names, bucket))).agg(F.min("_rank").alias("_top"), F.size(F.collect_set("_rank")).alias("_kinds"))
+    condition = F.lit(True)
+    for n, c in zip(names, bucket):
+        condition = condition & F.col(c).eqNullSafe(F.col(n))
+    return ranked.join(top, condition).where("_rank is null or _kinds < 2 or _rank = _top").select(*df.columns)
 
 
 def identical_copies(df: DataFrame, digest: str, order: Sequence[Column]) -> DataFrame:

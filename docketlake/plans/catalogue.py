@@ -1,8 +1,8 @@
 """All queries of the core and their DuckDB SQL."""
 
-from docketlake.plans import q_filters, q_shape, q_votes
+from docketlake.plans import q_filters, q_joins, q_shape, q_votes, q_windows
 
-_PARTS = (q_shape, q_filters, q_votes)
+_PARTS = (q_shape, q_filters, q_joins, q_votes, q_windows)
 FLAGSHIP = "agg_metrics"
 QUERIES = {name: q for part in _PARTS for name, q in part.R.queries.items()}
 SQL = {name: s for part in _PARTS for name, s in part.R.sql.items()}
