@@ -61,17 +61,18 @@ def dictionary_hits(texts: DataFrame, names: DataFrame, id_col: str, text_col: s
     first word begins some name; they meet the names by an equi-join.
     """
     words = lambda c: F.filter(F.split(F.lower(c), r"[^a-z0-9]+"), lambda w: w != "")
-    named = names.select(F.col(name_id), F.array_join(words(F.col(name_col)), " ").alias("gram"), F.size(words(F.col(name_col))).alias("n")).where("gram != ''").distinct()
-    longest = named.agg(F.max("n")).first()[0] or 0
+    named = names.select(F.col(name_id).alias("_name"), F.array_join(words(F.col(name_col)), " ").alias("_gram"), F.size(words(F.col(name_col))).alias("_size")).where("_gram != ''").distinct()
+    longest = named.agg(F.max("_size")).first()[0] or 0
     if not longest:
         return texts.select(id_col).limit(0).withColumns({name_id: F.lit(None).cast(names.schema[name_id].dataType), "hits": F.lit(0).cast("bigint")})
-    first = named.select(F.substring_index("gram", " ", 1).alias("word")).distinct()
-    tokens = texts.where(F.col(text_col).isNotNull()).select(F.col(id_col), words(F.col(text_col)).alias("w"))
+    first = named.select(F.substring_index("_gram", " ", 1).alias("_word")).distinct()
+    tokens = texts.where(F.col(text_col).isNotNull()).select(F.col(id_col).alias("_id"), words(F.col(text_col)).alias("_w"))
     # a word with the words that may follow it in a name; the array itself stays behind
-    at = F.transform(F.sequence(F.lit(1), F.size("w")), lambda i: F.struct(F.get("w", i - 1).alias("word"), F.slice("w", i, F.lit(longest)).alias("rest")))
-    starts = tokens.where(F.size("w") > 0).select(id_col, F.explode(at).alias("s")).select(id_col, "s.word", "s.rest").join(broadcast_if_small(first), "word")
-    grams = starts.select(id_col, F.explode(F.transform(F.sequence(F.lit(1), F.size("rest")), lambda n: F.array_join(F.slice("rest", F.lit(1), n), " "))).alias("gram"))
-    return grams.join(broadcast_if_small(named.drop("n")), "gram").groupBy(id_col, name_id).agg(F.count("*").alias("hits"))
+    at = F.transform(F.sequence(F.lit(1), F.size("_w")), lambda i: F.struct(F.get("_w", i - 1).alias("word"), F.slice("_w", i, F.lit(longest)).alias("rest")))
+    starts = tokens.where(F.size("_w") > 0).select("_id", F.explode(at).alias("_s")).select("_id", F.col("_s.word").alias("_word"), F.col("_s.rest").alias("_rest")).join(broadcast_if_small(first), "_word")
+    grams = starts.select("_id", F.explode(F.transform(F.sequence(F.lit(1), F.size("_rest")), lambda n: F.array_join(F.slice("_rest", F.lit(1), n), " "))).alias("_gram"))
+    hits = grams.join(broadcast_if_small(named.drop("_size")), "_gram").groupBy("_id", "_name").agg(F.count("*").alias("hits"))
+    return hits.select(F.col("_id").alias(id_col), F.col("_name").alias(name_id), "hits")
 
 
 def gram_pairs(df: DataFrame, id_col: str, grams: str, least: float, scope: Sequence[str] = ()) -> DataFrame:
