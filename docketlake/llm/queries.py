@@ -142,4 +142,19 @@ def p10_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (p1_found, p1_records, p2_found, p2_paragraphs, p3_found, p4_found, p4_body, p5_found, p5_pieces, p6_found, p6_agreement, p6_reliability, p7_found, p7_matches, p7_unmatched, p8_ids, p9_found, p9_spans, p10_found, p10_statistics)}
 
-SQL: dict[str, str] = {}
+_ADDRESS = r"""
+u as (select artifact_id, batch_no, regexp_replace(regexp_replace(regexp_replace(trim(url), '\s+', '', 'g'), '#.*$', ''), '^(?i)[a-z][a-z0-9+.-]*://', '') as u from digger_artifacts where url is not null and artifact_id is not null),
+s as (select artifact_id, batch_no, regexp_replace(regexp_replace(regexp_replace(lower(regexp_extract(u, '^([^/?#]*)', 1)), '^[^@]*@', ''), ':(80|443)?$', ''), '^www\d?\.', '') as host,
+  url_decode(regexp_extract(u, '^[^/?]*(/[^?]*)', 1)) as path, list_sort(list_filter(string_split(regexp_extract(u, '\?(.*)$', 1), '&'), lambda p: p <> '' and not regexp_matches(p, '^(?i)(utm_[a-z_]+|fbclid|gclid|msclkid|dclid|yclid|mc_cid|mc_eid|igshid|_ga|sessionid|session_id|session|sid|phpsessid|jsessionid|ref|ref_src)(=|$)'))) as q from u),
+a as (select artifact_id, batch_no, host || regexp_replace(regexp_replace(regexp_replace(regexp_replace(path, '(/\.)+(/|$)', '\2', 'g'), '/(?i)(index|default)\.(html?|php|aspx?|jsp)$', '/'), '/{2,}', '/', 'g'), '/$', '') || case when len(q) > 0 then '?' || array_to_string(q, '&') else '' end as address from s)"""
+
+SQL: dict[str, str] = {
+    "p3_found": f"""
+with {_ADDRESS},
+f as (select s.artifact_id, d.batch_no, lower(regexp_extract(s.sha256, '([0-9A-Fa-f]{{64}})', 1)) as digest from captured_sources s join digger_artifacts d using (artifact_id) where (s.size is null or s.size > 0)),
+m as (select x.artifact_id, min(y.artifact_id) as first_id from a x join a y using (address) where x.batch_no >= 1 group by 1 union all select x.artifact_id, min(y.artifact_id) from f x join f y using (digest) where x.batch_no >= 1 and x.digest <> '' group by 1)
+select min(first_id) as first_artifact_id, artifact_id from m where first_id < artifact_id group by artifact_id""",
+    "p5_found": """
+with p as (select source_id, unnest(string_split(text, chr(10) || chr(12) || chr(10))) as x, generate_subscripts(string_split(text, chr(10) || chr(12) || chr(10)), 1) as page from captured_texts)
+select selection_id from page_selections s join p using (source_id) where s.ranges is null or len(list_filter(s.ranges, lambda r: p.page between r.start and r."end")) > 0 group by selection_id, max_chars having sum(length(x)) > max_chars""",
+}
