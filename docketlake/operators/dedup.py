@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Iterable, Iterator, Sequence
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
@@ -60,20 +60,34 @@ def wildcard_duplicates(df: DataFrame, required: Sequence[str], fuzzy: Sequence[
     rows = df.withColumns({n: key_of(df, c) for n, c in zip(req, required)} | {n: F.nullif(key_of(df, c), F.lit("")) for n, c in zip(fuz, fuzzy)}).withColumn("_full", filled(df, df.columns))
     tuples = rows.groupBy(*req, *fuz).agg(F.min(position).alias("_first"), F.count("*").alias("_n"), F.max_by(position, F.struct("_full", -F.col(position))).alias("_best"), F.max("_full").alias("_most"))
 
-    def walk(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("_first", kind="stable").reset_index(drop=True)
-        values = pdf[fuz].astype(object).where(pdf[fuz].notna(), None).to_numpy()
-        free, group = [True] * len(pdf), [0] * len(pdf)
-        for i in range(len(pdf)):
-            if not free[i]:
-                continue
-            anchor = values[i]
-            for j in range(i, len(pdf)):
-                if free[j] and all(a is None or b is None or a == b for a, b in zip(anchor, values[j])):
-                    free[j], group[j] = False, int(pdf["_first"][i])
-        return pdf.assign(group_pos=group)[["group_pos", "_n", "_best", "_most"]]
-
-    grouped = tuples.groupBy(*req).applyInPandas(walk, "group_pos bigint, _n bigint, _best bigint, _most int")
+    def groups_of(tuples: list[tuple]) -> list[tuple]:
+        """Tuples (values, first, n, best, most) of one required key, in order, with the anchor each goes to."""
+        free, out = list(range(len(tuples))), []
+        while free:
+            anchor = tuples[free[0]]
+            taken = [i for i in free if all(a is None or b is None or a == b for a, b in zip(anchor[0], tuples[i][0]))]
+            out += [(anchor[1], *tuples[i][2:]) for i in taken]
+            gone = set(taken)
+            free = [i for i in free if i not in gone]
+        return out
+
+    def walk(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        # partitions are sorted by key and position, so that one key's tuples are held at a time
+        now, held = None, []
+        for pdf in frames:
+            out: list[tuple] = []
+            columns = [pdf[c].astype(object).where(pdf[c].notna(), None) for c in (*req, *fuz)]
+            for row in zip(*columns, pdf["_first"], pdf["_n"], pdf["_best"], pdf["_most"]):
+                key = row[: len(req)]
+                if key != now:
+                    out += groups_of(held)
+                    now, held = key, []
+                held.append((row[len(req) : len(req) + len(fuz)], *row[len(req) + len(fuz) :]))
+            yield pd.DataFrame(out, columns=["group_pos", "_n", "_best", "_most"])
+        yield pd.DataFrame(groups_of(held), columns=["group_pos", "_n", "_best", "_most"])
+
+    placed = tuples.repartition(*req).sortWithinPartitions(*req, "_first")
+    grouped = placed.mapInPandas(walk, "group_pos bigint, _n bigint, _best bigint, _most int")
     best = grouped.groupBy("group_pos").agg(F.max_by("_best", F.struct("_most", -F.col("_best"))).alias(position), F.sum("_n").alias("members"))
     return df.join(best, position)
 

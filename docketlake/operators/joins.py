@@ -88,15 +88,15 @@ def gram_pairs(df: DataFrame, id_col: str, grams: str, least: float, scope: Sequ
     ordered = each.join(counts, [*scope, "gram"]).groupBy(*scope, "_id").agg(F.array_sort(F.collect_list(F.struct("times", "gram"))).alias("o"))
     size = F.size("o")
     prefix = F.slice("o", F.lit(1), (size - F.ceil(size * least) + 1).cast("int"))
-    keyed = ordered.select(*scope, "_id", F.transform("o", lambda x: x["gram"]).alias("all"), F.explode(F.transform(prefix, lambda x: x["gram"])).alias("gram"))
-    whole = ordered.select(*scope, "_id", F.transform("o", lambda x: x["gram"]).alias("all"), F.explode(F.transform("o", lambda x: x["gram"])).alias("gram"))
-    # containment is by the smaller set, so the smaller set's prefix meets the larger set's grams
-    a = keyed.select(*scope, "gram", F.col("_id").alias("small"), F.col("all").alias("small_set"))
-    b = whole.select(*scope, "gram", F.col("_id").alias("large"), F.col("all").alias("large_set"))
-    pairs = a.join(b, [*scope, "gram"]).where("small != large and size(small_set) <= size(large_set)").dropDuplicates([*scope, "small", "large"])
-    score = F.size(F.array_intersect("small_set", "large_set")) / F.size("small_set")
-    scored = pairs.select(*scope, F.least("small", "large").alias("left_id"), F.greatest("small", "large").alias("right_id"), score.alias("score")).where(F.col("score") >= least)
-    return scored.groupBy(*scope, "left_id", "right_id").agg(F.max("score").alias("score"))
+    sets = ordered.select(*scope, "_id", F.transform("o", lambda x: x["gram"]).alias("_set"))
+    # ids and sizes only meet on grams; the sets come back for the pairs that did
+    a = ordered.select(*scope, F.explode(F.transform(prefix, lambda x: x["gram"])).alias("gram"), F.col("_id").alias("_small"), size.alias("_n"))
+    b = ordered.select(*scope, F.explode(F.transform("o", lambda x: x["gram"])).alias("gram"), F.col("_id").alias("_large"), size.alias("_m"))
+    # containment is by the smaller set, so its prefix meets all grams of the larger one; of equal sets the smaller id leads
+    met = a.join(b, [*scope, "gram"]).where("_n < _m or (_n = _m and _small < _large)").groupBy(*scope, "_small", "_large").agg(F.lit(1).alias("_met"))
+    pairs = met.join(sets.select(*scope, F.col("_id").alias("_small"), F.col("_set").alias("_a")), [*scope, "_small"]).join(sets.select(*scope, F.col("_id").alias("_large"), F.col("_set").alias("_b")), [*scope, "_large"])
+    score = F.size(F.array_intersect("_a", "_b")) / F.size("_a")
+    return pairs.select(*scope, F.least("_small", "_large").alias("left_id"), F.greatest("_small", "_large").alias("right_id"), score.alias("score")).where(F.col("score") >= least)
 
 
 def upsert(existing: DataFrame, fresh: DataFrame, keys: Sequence[str]) -> DataFrame:

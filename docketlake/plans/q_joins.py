@@ -56,15 +56,15 @@ def jn_clusters(t: Tables) -> DataFrame:
 
 
 @R.add("""
-with q as (select distinct md5(quote) as item_id, lower(trim(regexp_replace(quote, '\\s+', ' ', 'g'))) as t from cells where quote is not null),
-g as (select distinct item_id, unnest(list_transform(range(1, length(t) - 2), lambda i: substr(t, i, 4))) as g from q where length(t) >= 12),
-n as (select item_id, count(*) as n from g group by item_id),
-p as (select a.item_id as left_id, b.item_id as right_id, count(*) as c from g a join g b on a.g = b.g and a.item_id < b.item_id group by 1, 2)
-select left_id, right_id, c::double / least(x.n, y.n) as score from p join n x on x.item_id = left_id join n y on y.item_id = right_id where c::double / least(x.n, y.n) >= 0.65""")
+with q as (select distinct target_id, md5(quote) as id, lower(trim(regexp_replace(quote, '\\s+', ' ', 'g'))) as t from cells where quote is not null and target_id is not null),
+g as (select distinct target_id, id, unnest(list_transform(range(1, length(t) - 2), lambda i: substr(t, i, 4))) as g from q where length(t) >= 12),
+n as (select target_id, id, count(*) as n from g group by all),
+p as (select a.target_id, a.id as left_id, b.id as right_id, count(*) as c from g a join g b on a.target_id = b.target_id and a.g = b.g and a.id < b.id group by all)
+select p.target_id, left_id, right_id, c::double / least(x.n, y.n) as score from p join n x on x.id = left_id and x.target_id = p.target_id join n y on y.id = right_id and y.target_id = p.target_id where c::double / least(x.n, y.n) >= 0.65""")
 def jn_gram_pairs(t: Tables) -> DataFrame:
-    """JN6, MTH5: different quotes whose 4-grams overlap by 0.65 of the smaller set, through a prefix-filtered gram join."""
-    q = t.cells.where("quote is not null").select(F.md5("quote").alias("item_id"), "quote").distinct().select("item_id", text.char_grams(F.col("quote")).alias("grams"))
-    return joins.gram_pairs(q, "item_id", "grams", 0.65)
+    """JN6, MTH5: different quotes of one target whose 4-grams overlap by 0.65 of the smaller set, through a prefix-filtered gram join."""
+    q = t.cells.where("quote is not null and target_id is not null").select("target_id", F.md5("quote").alias("item_id"), "quote").distinct()
+    return joins.gram_pairs(q.select("target_id", "item_id", text.char_grams(F.col("quote")).alias("grams")), "item_id", "grams", 0.65, ["target_id"])
 
 
 @R.add("""
