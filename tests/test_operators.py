@@ -201,6 +201,21 @@ def test_reachable(spark):
     assert rows(joins.reachable(links, seeds, 2)) == [("a", 0), ("b", 1), ("c", 2)]
 
 
+def test_crawl_follows_all_links(spark, tmp_path):
+    from docketlake.plans.q_joins import R
+
+    pairs = [(1, 1), (1, 2), (301, 1), (9000, 2), (9000, 3), (40, 3), (1, 1)]
+    spark.createDataFrame(pairs, "l_partkey bigint, l_suppkey bigint").write.parquet(str(tmp_path / "lineitem.parquet"))
+    links = {(f"p{p}", f"s{s}") for p, s in pairs}
+    links |= {(b, a) for a, b in links}
+    want, edge = {"p1": 0}, {"p1"}
+    for depth in (1, 2):
+        edge = {b for a, b in links if a in edge} - set(want)
+        want |= dict.fromkeys(edge, depth)
+    assert {"p301", "p9000"} <= set(want)
+    assert dict(rows(R.queries["src_crawl_whole"](spark, str(tmp_path)))) == want
+
+
 SCHEMA = '{"properties": {"s": {"type": "string"}, "rows": {"type": "array", "items": {"properties": {"k": {"type": "string", "title": "Key"}, "n": {"type": ["integer", "null"]}, "e": {"$ref": "#/$defs/e"}, "parts": {"type": "array", "items": {"properties": {"p": {"type": "string"}}}}}}}}, "$defs": {"e": {"type": "object", "properties": {"value": {"type": "string"}, "quote": {"type": "string"}}}}, "$metadata": {"identity": {"keys": ["k"]}}}'
 
 
