@@ -12,6 +12,7 @@ from __future__ import annotations
 import re
 from collections import Counter
 from collections.abc import Iterator
+from hashlib import md5
 from zlib import crc32
 
 import numpy as np
@@ -27,8 +28,6 @@ TRAINING_WORDS = 5000
 TRAINING_LINES = 20000
 #: Lines from a page's edge that may be furniture.
 EDGE = 3
-#: Longer lines inside a page are not counted: no header is so long.
-SHORT = 48
 #: A dictionary word occurs at least so often on native pages.
 LEAST_COUNT = 2
 THRESHOLD = 0.5
@@ -114,15 +113,17 @@ def page_blocks(text: str) -> Iterator[tuple[int, list[tuple[int, str]]]]:
 
 
 def edge_lines(scanned: DataFrame) -> DataFrame:
-    """``(source_id, line_no, edge, features, key, here)``: lines near the edges of OCR pages with their looks,
-    short lines inside them for the counts, and the looks of inside lines on every fourth page for training."""
+    """``(source_id, line_no, edge, features, key, here, n)``: lines near the edges of OCR pages with their looks and the
+    digest of their mask, the looks of inside lines on every fourth page for training, without a key, and how often each
+    mask stands inside a page, all lines of all pages counted, as one row a batch."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out: tuple[list, ...] = ([], [], [], [], [], [])
+            out: tuple[list, ...] = ([], [], [], [], [], [], [])
+            inner: Counter[bytes] = Counter()
             for source, text, pages in zip(*(batch.column(i).to_pylist() for i in range(3))):
                 listed, rows = set(pages), []
-                here: Counter[str] = Counter()
+                here: Counter[bytes] = Counter()
                 for page, block in page_blocks(text):
                     if page not in listed:
                         continue
@@ -133,24 +134,27 @@ def edge_lines(scanned: DataFrame) -> DataFrame:
                         number, x = block[i]
                         bottom = len(full) - 1 - top
                         edge = top < EDGE or bottom < EDGE
-                        if not edge and not shown and len(x) > SHORT:
-                            continue
-                        looks = []
-                        if edge or shown:
-                            before = i == 0 or not block[i - 1][1].strip()
-                            after = i + 1 == len(block) or not block[i + 1][1].strip()
-                            looks = line_features(x, width, top, bottom, before, after, block[full[top + 1]][1] if bottom else "")
-                        key = mask(x)
+                        key = md5(mask(x).encode()).digest()
+                        if not edge:
+                            inner[key] += 1
+                            if not shown:
+                                continue
+                        before = i == 0 or not block[i - 1][1].strip()
+                        after = i + 1 == len(block) or not block[i + 1][1].strip()
+                        looks = line_features(x, width, top, bottom, before, after, block[full[top + 1]][1] if bottom else "")
                         if edge:
                             here[key] += 1
                         rows.append((number, edge, looks, key))
                 for number, edge, looks, key in rows:
-                    for to, v in zip(out, (source, number, edge, looks, key, here[key])):
+                    for to, v in zip(out, (source, number, edge, looks, key if edge else None, here[key], 1)):
                         to.append(v)
-            kinds = (pa.int64(), pa.int64(), pa.bool_(), pa.list_(pa.float32()), pa.string(), pa.int32())
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds)], names=["source_id", "line_no", "edge", "features", "key", "here"])
+            for key, n in inner.items():
+                for to, v in zip(out, (None, None, False, None, key, 0, n)):
+                    to.append(v)
+            kinds = (pa.int64(), pa.int64(), pa.bool_(), pa.list_(pa.float32()), pa.binary(), pa.int32(), pa.int64())
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds)], names=["source_id", "line_no", "edge", "features", "key", "here", "n"])
 
-    return scanned.mapInArrow(run, "source_id bigint, line_no bigint, edge boolean, features array<float>, key string, here int")
+    return scanned.mapInArrow(run, "source_id bigint, line_no bigint, edge boolean, features array<float>, key binary, here int, n bigint")
 
 
 def line_features(x: str, width: int, top: int, bottom: int, before: bool, after: bool, near: str) -> list[float]:
@@ -185,8 +189,7 @@ def line_features(x: str, width: int, top: int, bottom: int, before: bool, after
 
 def with_recurrence(lines: DataFrame) -> DataFrame:
     """Edge lines with their looks and the counts of their masked form: in the source, in sources, and inside pages."""
-    short = lines.where("length(key) between 1 and 120")
-    counts = short.groupBy("key").agg(F.count_distinct(F.when(F.col("edge"), F.col("source_id"))).alias("edge_sources"), F.count_if("edge").alias("edge_pages"), F.count_if(~F.col("edge")).alias("inner"))
+    counts = lines.where("key is not null").groupBy("key").agg(F.count_distinct(F.when(F.col("edge"), F.col("source_id"))).alias("edge_sources"), F.count_if("edge").alias("edge_pages"), F.coalesce(F.sum(F.when(~F.col("edge"), F.col("n"))), F.lit(0)).alias("inner"))
     joined = lines.where("edge").join(counts, "key", "left")
     extra = F.array(*(F.log2(1 + F.coalesce(F.col(c), F.lit(0)).cast("double")).cast("float") for c in ("here", "edge_sources", "inner")))
     return joined.select("source_id", "line_no", F.concat("features", extra).alias("features"), "here", "edge_sources", "edge_pages", "inner")

@@ -237,6 +237,19 @@ def test_scan_noise(spark):
     assert scans.noisy_lines(t.limit(0), s.limit(0)).count() == 0
 
 
+def test_recurrence_counts_all_inside_lines(spark):
+    long = {n: " ".join(["the applicant shall provide", *"abcdefghijklmnopqrst"[:n]]) + "." for n in (12, 20)}
+    long[60] = "shall review the drawing " * 8
+    texts = []
+    for i in range(24):
+        lines = [f"top {c} {'x' * i}" for c in "abc"] + list(long.values()) + [f"end {c} {'y' * i}" for c in "abc"]
+        texts.append((i, "\n".join(lines), [1]))
+    texts.append((99, "\n".join([*long.values(), "middle", *"def"]), [1]))
+    lines = scans.edge_lines(spark.createDataFrame(texts, "source_id bigint, text string, pages array<int>").repartition(3))
+    got = {(r["source_id"], r["line_no"]): r["inner"] for r in scans.with_recurrence(lines).collect()}
+    assert [got[99, n] for n in (1, 2, 3)] == [24, 24, 24] and got[0, 1] == 0 and len(got) == 25 * 6
+
+
 def test_ocr_distance_and_boost():
     import numpy as np
 
