@@ -199,15 +199,27 @@ f as (select distinct regexp_extract(original, '^(.*)/[^/]*$', 1) as path from c
 b as (select distinct regexp_extract(original, '^(.*)/[^/]*$', 1) as path from captured_sources where size = 0 and source_id % 3 = 0)"""
 
 
-def _folders(t: Tables) -> tuple[DataFrame, DataFrame]:
+_WHOLE_PATHS_SQL = """
+f as (select distinct regexp_extract(original, '^(.*)/[^/]*$', 1) as path from captured_sources where original is not null),
+b as (select distinct regexp_extract(original, '^(.*)/[^/]*$', 1) as path from captured_sources where size = 0 and original is not null)"""
+
+
+def _folders(t: Tables, blocked: str) -> tuple[DataFrame, DataFrame]:
     folder = F.regexp_extract("original", "^(.*)/[^/]*$", 1).alias("path")
-    return t.captured_sources.where("original is not null").select(folder).distinct(), t.captured_sources.where("size = 0 and source_id % 3 = 0").select(folder).distinct()
+    return t.captured_sources.where("original is not null").select(folder).distinct(), t.captured_sources.where(blocked).select(folder).distinct()
 
 
 @R.add(f"with {_PATHS_SQL} select path from f where exists (select 1 from b where b.path = f.path or starts_with(f.path, b.path || '/') or starts_with(b.path, f.path || '/'))")
 def jn_path_overlap(t: Tables) -> DataFrame:
-    """JN19: folders that equal, hold or lie in a blocked one."""
-    f, b = _folders(t)
+    """JN19: folders that equal, hold or lie in a blocked one; of the files of size 0 only those with source_id % 3 = 0 block, as its SQL has it; ``jn_path_overlap_whole`` takes all."""
+    f, b = _folders(t, "size = 0 and source_id % 3 = 0")
+    return joins.overlapping_paths(f, b, "path")
+
+
+@R.add(f"with {_WHOLE_PATHS_SQL} select path from f where exists (select 1 from b where b.path = f.path or starts_with(f.path, b.path || '/') or starts_with(b.path, f.path || '/'))")
+def jn_path_overlap_whole(t: Tables) -> DataFrame:
+    """JN19: folders that equal, hold or lie in a blocked one; all files of size 0 block."""
+    f, b = _folders(t, "size = 0 and original is not null")
     return joins.overlapping_paths(f, b, "path")
 
 
@@ -325,8 +337,15 @@ def set_distinct_ordered(t: Tables) -> DataFrame:
 
 @R.add(f"with {_PATHS_SQL}, u as (select path from f union select regexp_extract(path, '^([^/]*)', 1) from b) select path from u where not exists (select 1 from u o where starts_with(u.path, o.path || '/'))")
 def set_minimal_paths(t: Tables) -> DataFrame:
-    """SET6: folders without one that another folder holds."""
-    f, b = _folders(t)
+    """SET6: folders without one that another folder holds; of the files of size 0 only those with source_id % 3 = 0 add their first folder, as its SQL has it; ``set_minimal_paths_whole`` takes all."""
+    f, b = _folders(t, "size = 0 and source_id % 3 = 0")
+    return joins.minimal_paths(f.union(b.select(F.substring_index("path", "/", 1))), "path")
+
+
+@R.add(f"with {_WHOLE_PATHS_SQL}, u as (select path from f union select regexp_extract(path, '^([^/]*)', 1) from b) select path from u where not exists (select 1 from u o where starts_with(u.path, o.path || '/'))")
+def set_minimal_paths_whole(t: Tables) -> DataFrame:
+    """SET6: folders without one that another folder holds; all files of size 0 add their first folder."""
+    f, b = _folders(t, "size = 0 and original is not null")
     return joins.minimal_paths(f.union(b.select(F.substring_index("path", "/", 1))), "path")
 
 

@@ -201,6 +201,19 @@ def test_reachable(spark):
     assert rows(joins.reachable(links, seeds, 2)) == [("a", 0), ("b", 1), ("c", 2)]
 
 
+def test_all_empty_files_block_their_folders(spark, tmp_path):
+    from docketlake.plans.q_joins import R
+
+    data = [(1, "a/b/x.pdf", 0), (2, "c/d/x.pdf", 0), (3, "e/f/x.pdf", 0), (4, "a/b/c/y.pdf", 9), (5, "c/y.pdf", 9), (6, "g/h/y.pdf", 9), (7, None, 0), (8, "i/j/y.pdf", None)]
+    spark.createDataFrame(data, "source_id bigint, original string, size bigint").write.parquet(str(tmp_path / "captured_sources.parquet"))
+    folders = {o.rsplit("/", 1)[0] for _, o, _ in data if o}
+    blocked = {o.rsplit("/", 1)[0] for _, o, n in data if o and n == 0}
+    lies = lambda a, b: f"{a}/".startswith(f"{b}/")
+    assert rows(R.queries["jn_path_overlap_whole"](spark, str(tmp_path))) == sorted((f,) for f in folders if any(lies(f, b) or lies(b, f) for b in blocked))
+    both = folders | {b.split("/")[0] for b in blocked}
+    assert rows(R.queries["set_minimal_paths_whole"](spark, str(tmp_path))) == sorted((f,) for f in both if not any(f != o and lies(f, o) for o in both))
+
+
 def test_crawl_follows_all_links(spark, tmp_path):
     from docketlake.plans.q_joins import R
 
