@@ -1,9 +1,9 @@
 """Mapping freely typed entries to a canonical list (problem 7).
 
 Method: symmetric-delete dictionary.  The names of the list are stored under every form
-that up to MAX_EDITS deletions make of them and sent to the workers, behind a check of
-their number; a typed name is looked up under its own deletion forms, candidates
-are ranked by weighted Damerau-Levenshtein distance, and what stays open is reported.
+that up to MAX_EDITS deletions make of them, very long ones under their segments, and
+sent to the workers, behind a check of their number; a typed name is looked up under its
+own deletion forms and the segments near names share, candidates are ranked by weighted Damerau-Levenshtein distance, and what stays open is reported.
 """
 
 from __future__ import annotations
@@ -20,8 +20,10 @@ from pyspark.sql import functions as F
 MAX_EDITS = 2
 #: A longer list than this is not broadcast but matched in slices, one after the other.
 DICTIONARY_ENTRIES = 100_000
-#: Letters of a proper name that may still be mistyped (its deletion forms grow with the square of its length).
+#: Letters of the longest proper name stored under its deletion forms (they grow with the square of its length); longer
+#: ones are stored under their segments. Two edits, letters changed in place over a border too, leave one of five whole.
 LONGEST = 64
+SEGMENTS = 2 * MAX_EDITS + 1
 UNMATCHED = "unmatched"
 
 #: Postal codes and names of the states.
@@ -144,8 +146,8 @@ def weighted_distance(a: str, b: str) -> float:
 
 
 def edits_for(word: str) -> int:
-    """Edits that a word of this length may have; very short and very long ones match exactly or not at all."""
-    return 0 if len(word) < 4 or len(word) > LONGEST else 1 if len(word) < 7 else MAX_EDITS
+    """Edits that a word of this length may have; very short ones match exactly or not at all."""
+    return 0 if len(word) < 4 else 1 if len(word) < 7 else MAX_EDITS
 
 
 def deletions(word: str, most: int) -> set[str]:
@@ -156,8 +158,14 @@ def deletions(word: str, most: int) -> set[str]:
     return forms
 
 
+def segments(length: int) -> list[tuple[int, int]]:
+    """Where the SEGMENTS parts of a word of this length begin and end."""
+    bounds = [length * k // SEGMENTS for k in range(SEGMENTS + 1)]
+    return list(zip(bounds, bounds[1:]))
+
+
 class Dictionary:
-    """Entries ``(target_id, roster, state, name)`` under the deletion forms of their proper names."""
+    """Entries ``(target_id, roster, state, name)`` under the deletion forms, or the segments, of their proper names."""
 
     def __init__(self, entries: list[tuple[str, str, str | None, str]], fields: dict[str, list[str]]):
         self.fields = fields
@@ -169,7 +177,14 @@ class Dictionary:
                 if (target, kind, own) not in (bucket := self.entries.setdefault((roster, base), [])):
                     bucket.append((target, kind, own))
         self.forms: dict[tuple[str, str], list[str]] = {}
+        self.parts: dict[tuple[str, int, int, str], list[str]] = {}
+        self.long: set[tuple[str, int]] = set()
         for roster, base in self.entries:
+            if len(base) > LONGEST:
+                self.long.add((roster, len(base)))
+                for k, (a, b) in enumerate(segments(len(base))):
+                    self.parts.setdefault((roster, len(base), k, base[a:b]), []).append(base)
+                continue
             for form in deletions(base, edits_for(base)):
                 self.forms.setdefault((roster, form), []).append(base)
 
@@ -183,10 +198,11 @@ class Dictionary:
         near: dict[str, int] = {}
         if (roster, base) in self.entries:
             near[base] = 0
-        for form in deletions(base, most):
-            for other in self.forms.get((roster, form), ()):
-                if other not in near and (d := distance(base, other, most)) <= most:
-                    near[other] = d
+        found = [other for form in deletions(base, most) for other in self.forms.get((roster, form), ())] if len(base) <= LONGEST + MAX_EDITS else []
+        found += self._long_ones(roster, base)
+        for other in found:
+            if other not in near and (d := distance(base, other, most)) <= most:
+                near[other] = d
         left = []
         for other, edits in near.items():
             for target, own_kind, own_state in self.entries[roster, other]:
@@ -194,6 +210,17 @@ class Dictionary:
                     left.append((edits, weighted_distance(base, other), target))
         return sorted(left)
 
+    def _long_ones(self, roster: str | None, base: str) -> set[str]:
+        """Names over LONGEST letters that have a segment where ``base`` has it, up to MAX_EDITS places beside."""
+        return {
+            other
+            for length in range(len(base) - MAX_EDITS, len(base) + MAX_EDITS + 1)
+            if (roster, length) in self.long
+            for k, (a, b) in enumerate(segments(length))
+            for at in range(max(0, a - MAX_EDITS), a + MAX_EDITS + 1)
+            for other in self.parts.get((roster, length, k, base[at : at + b - a]), ())
+        }
+
     def match(self, roster: str | None, state: str | None, name: str | None) -> tuple[str | None, int, int | None]:
         """The one target that is nearest, how many stand equally near, and their edits."""
         left = self.look_up(roster, state, name)

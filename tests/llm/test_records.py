@@ -234,6 +234,20 @@ def test_symmetric_delete_finds_all_within_two():
         assert {t for _, _, t in d.look_up("r", None, typed)} >= want
 
 
+def test_long_names_within_two_edits_are_found():
+    rng = random.Random(13)
+    names = ["".join(rng.choice("bdgkmnprst") for _ in range(n)) for n in (63, 64, 65, 66, 67, 80, 150) for _ in range(8)]
+    d = canonical.Dictionary([(n, "r", None, n) for n in names], {"r": ["name"]})
+    for name in names:
+        for _ in range(25):
+            typed = name
+            for _ in range(2):
+                i = rng.choice([0, len(typed) - 2, *(b - 1 for _, b in canonical.segments(len(name))[:-1]), rng.randrange(len(typed) - 1)])
+                typed = rng.choice([typed[:i] + typed[i + 1 :], typed[:i] + "z" + typed[i:], typed[:i] + "z" + typed[i + 1 :], typed[:i] + typed[i + 1] + typed[i] + typed[i + 2 :]])
+            want = {n for n in names if canonical.distance(typed, n, 2) <= 2}
+            assert {t for _, _, t in d.look_up("r", None, typed)} == want
+
+
 def test_match_items(spark):
     targets = spark.createDataFrame([("a", "p", "MO", "Skellelfell County", 1), ("b", "p", "TX", "Skellelfell County", 2), ("c", "p", "TX", "City of Skellelfell", 3), ("d", "u", None, "Oskarmere Power and Light", 4)], "target_id string, roster string, state string, name string, item_id int")
     rosters = spark.createDataFrame([("p", ["state", "name"]), ("u", ["name"])], "roster string, fields array<string>")
