@@ -167,6 +167,21 @@ def test_pieces_cover_the_text(spark):
                 assert b["start_char"] == max(0, a["end_char"] - overlap)
 
 
+def test_cuts_take_marks_wherever_they_lie(spark):
+    rng = random.Random(14)
+    text = "".join(rng.choice(["abc ", "de ", "fghijklm "]) for _ in range(300)) + "end"
+    texts = spark.createDataFrame([(1, "w " * 325 + "\n\n" + "w " * 400, 1), (2, text, 1)], TXT)
+    sel = [(1, 1, None, 800, 0, ""), (2, 2, None, 30, 0, ""), (3, 2, None, 24, 6, ""), (4, 2, None, 200, 20, "")]
+    for size in (256, 1 << 16):
+        got = pieces.split_selections(spark.createDataFrame(sel, SEL), texts, size).collect()
+        assert 652 in {r["end_char"] for r in got if r["selection_id"] == 1}
+        for key, (most, overlap) in {2: (30, 0), 3: (24, 6), 4: (200, 20)}.items():
+            parts = sorted((r for r in got if r["selection_id"] == key), key=lambda r: r["piece_no"])
+            assert [p["piece_no"] for p in parts] == list(range(1, len(parts) + 1)) and parts[-1]["end_char"] == len(text)
+            assert all(p["piece"] == text[p["start_char"] : p["end_char"]] and len(p["piece"]) <= most for p in parts)
+            assert all(max(0, a["end_char"] - overlap) == b["start_char"] and text[a["end_char"] - 1] == " " for a, b in zip(parts, parts[1:]))
+
+
 def test_split_files(spark, tmp_path):
     text = "\n\n".join(f"Paragraph {i} is é and ends here. Next one." for i in range(400))
     path = tmp_path / "big.txt"
