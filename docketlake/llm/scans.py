@@ -28,6 +28,10 @@ TRAINING_WORDS = 5000
 TRAINING_LINES = 20000
 #: Lines from a page's edge that may be furniture.
 EDGE = 3
+#: Occurrences beyond which more of them say nothing new, so that the classifier sees the same counts at every scale.
+ENOUGH = 31
+#: Tokens over this length find their candidates by segments instead of grams.
+LONG = 40
 #: A dictionary word occurs at least so often on native pages.
 LEAST_COUNT = 2
 THRESHOLD = 0.5
@@ -60,7 +64,7 @@ def parts_of(raw: str) -> tuple[str, ...]:
             token = part.strip(_TRIM)
             if part.endswith("!") and part[:-1].isalpha():
                 token = part[:-1]
-            if len(token) <= 40 and sum(map(str.isalpha, token)) >= max(2, (len(token) + 1) // 2):
+            if len(token) > 1 and sum(map(str.isalpha, token)) >= max(1 if len(token) == 2 else 2, (len(token) + 1) // 2):
                 out.append(token.lower())
         if len(_PARTS) > 300_000:
             _PARTS.clear()
@@ -76,15 +80,20 @@ def compounds_in(line: str) -> list[str]:
     return [t for raw in line.split() if "-" in raw[1:-1] and (t := raw.strip(_TRIM).lower()).replace("-", "").isalpha()]
 
 
-def mask(line: str) -> str:
-    """A line without its numbers, spacing and case, for counting what recurs; a page number set apart is left out."""
+def unnumbered(line: str) -> str:
+    """A line without spacing, case and the page number that is set apart or at its end; other numbers stay."""
     parts = re.split(r"\s{3,}", line.strip()) if "   " in line else ()
     if len(parts) > 1 and (rest := [p for p in parts if not _PAGE_NUMBER.match(p)]):
         line = " ".join(rest)
     line = " ".join(line.lower().split())
     if len(line) <= 40:
         line = re.sub(r"\b[ivxlc]{1,7}\b(?=\W*$)", "#", line)
-    return re.sub(r"\d+", "#", line)
+    return "#" if _PAGE_NUMBER.match(line) else line
+
+
+def mask(form: str) -> str:
+    """An ``unnumbered`` line without any number, for counting what recurs over sources."""
+    return re.sub(r"\d+", "#", form)
 
 
 # ---------------------------------------------------------------- lines
@@ -113,9 +122,10 @@ def page_blocks(text: str) -> Iterator[tuple[int, list[tuple[int, str]]]]:
 
 
 def edge_lines(scanned: DataFrame) -> DataFrame:
-    """``(source_id, line_no, edge, features, key, here, n)``: lines near the edges of OCR pages with their looks and the
-    digest of their mask, the looks of inside lines on every fourth page for training, without a key, and how often each
-    mask stands inside a page, all lines of all pages counted, as one row a batch."""
+    """``(source_id, line_no, edge, features, key, here, n)``: lines near the edges of OCR pages with their looks, the
+    digest of their mask and how often their exact form stands at the same edge in the source; the same of inside lines
+    on every fourth page, whole and ended early, for training; and how often each mask stands inside a page, all lines of all pages counted,
+    as one row a batch (without a source)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -123,7 +133,7 @@ def edge_lines(scanned: DataFrame) -> DataFrame:
             inner: Counter[bytes] = Counter()
             for source, text, pages in zip(*(batch.column(i).to_pylist() for i in range(3))):
                 listed, rows = set(pages), []
-                here: Counter[bytes] = Counter()
+                here: Counter[tuple[str, bool]] = Counter()
                 for page, block in page_blocks(text):
                     if page not in listed:
                         continue
@@ -134,19 +144,26 @@ def edge_lines(scanned: DataFrame) -> DataFrame:
                         number, x = block[i]
                         bottom = len(full) - 1 - top
                         edge = top < EDGE or bottom < EDGE
-                        key = md5(mask(x).encode()).digest()
-                        if not edge:
+                        form = unnumbered(x)
+                        key = md5(mask(form).encode()).digest()
+                        if edge:
+                            here[form, top < EDGE] += 1
+                        else:
                             inner[key] += 1
                             if not shown:
                                 continue
                         before = i == 0 or not block[i - 1][1].strip()
                         after = i + 1 == len(block) or not block[i + 1][1].strip()
                         looks = line_features(x, width, top, bottom, before, after, block[full[top + 1]][1] if bottom else "")
-                        if edge:
-                            here[key] += 1
-                        rows.append((number, edge, looks, key))
-                for number, edge, looks, key in rows:
-                    for to, v in zip(out, (source, number, edge, looks, key if edge else None, here[key], 1)):
+                        rows.append((number, edge, looks, key, form, top < EDGE))
+                        if not edge and len(words := x.split()) > 1:
+                            # a paragraph may end anywhere, also where the text at hand has only full lines
+                            ended = " ".join(words[: 1 + crc32(x.encode()) % (len(words) - 1)]).rstrip(_TRIM + _HYPHENS) + "."
+                            rows.append((number, False, line_features(ended, width, top, bottom, before, True, ""), None, "", False))
+                for number, edge, looks, key, form, high in rows:
+                    # an inside line counts as if it stood at an edge
+                    times = here[form, high] if edge else 1 + max(here[form, True], here[form, False])
+                    for to, v in zip(out, (source, number, edge, looks, key, times, 1)):
                         to.append(v)
             for key, n in inner.items():
                 for to, v in zip(out, (None, None, False, None, key, 0, n)):
@@ -187,26 +204,39 @@ def line_features(x: str, width: int, top: int, bottom: int, before: bool, after
     ]
 
 
-def with_recurrence(lines: DataFrame) -> DataFrame:
-    """Edge lines with their looks and the counts of their masked form: in the source, in sources, and inside pages."""
-    counts = lines.where("key is not null").groupBy("key").agg(F.count_distinct(F.when(F.col("edge"), F.col("source_id"))).alias("edge_sources"), F.count_if("edge").alias("edge_pages"), F.coalesce(F.sum(F.when(~F.col("edge"), F.col("n"))), F.lit(0)).alias("inner"))
-    joined = lines.where("edge").join(counts, "key", "left")
-    extra = F.array(*(F.log2(1 + F.coalesce(F.col(c), F.lit(0)).cast("double")).cast("float") for c in ("here", "edge_sources", "inner")))
-    return joined.select("source_id", "line_no", F.concat("features", extra).alias("features"), "here", "edge_sources", "edge_pages", "inner")
+def key_counts(lines: DataFrame) -> DataFrame:
+    """``(key, edge_n, inner)``: how often each mask stands at edges and inside pages."""
+    at_edge = F.col("edge") & F.col("source_id").isNotNull()
+    return lines.where("edge or source_id is null").groupBy("key").agg(F.count_if(at_edge).alias("edge_n"), F.coalesce(F.sum(F.when(~at_edge, F.col("n"))), F.lit(0)).alias("inner"))
 
 
-def fit_furniture(edges: DataFrame, lines: DataFrame, most: int = TRAINING_LINES) -> Boost | None:
-    """A classifier of edge lines, from lines that recur at edges or are page numbers against lines inside pages.
+def with_recurrence(lines: DataFrame, counts: DataFrame, share: float) -> DataFrame:
+    """``lines`` with the features of recurrence appended to their looks.
 
-    A recurring line with a sentence's end proves nothing: paragraphs end alike.
-    Recurrence counts of half of the sample are blanked, so that a header which
-    stands only once is told by its looks.
+    ``others`` are the other lines of the same mask.  How much more often they
+    stand at edges than lines at large do (``share``) is a rate and says the same
+    at every scale; how many they are counts up to ENOUGH.
     """
-    sure = "(features[0] > 0 and (here > 1 or edge_sources > 2)) or (features[8] = 0 and ((edge_sources >= 4 and inner * 20 <= edge_pages) or (here >= 3 and inner = 0)))"
-    pick = lambda df: df.orderBy(F.xxhash64("source_id", "line_no")).limit(most // 2).select("features").collect()
-    good = pick(edges.where(sure))
-    inside = lines.where("not edge and size(features) > 0").withColumn("features", F.concat("features", F.array(*[F.lit(1.0).cast("float")] * 2, F.lit(0.0).cast("float"))))
-    bad = pick(inside)
+    joined = lines.join(counts, "key", "left")
+    e = F.coalesce(F.col("edge_n"), F.lit(0)) - F.col("edge").cast("int")
+    i = F.coalesce(F.col("inner"), F.lit(0)) - (~F.col("edge")).cast("int")
+    lift = F.log2((F.greatest(e, F.lit(0)) + F.lit(share)) / (F.greatest(i, F.lit(0)) + F.lit(1 - share))) - F.log2(F.lit(share / (1 - share)))
+    extra = F.array(F.least("here", F.lit(4)).cast("float"), F.log2(1 + F.least(F.greatest(e + i, F.lit(0)), F.lit(ENOUGH))).cast("float"), F.least(F.greatest(lift, F.lit(-8.0)), F.lit(8.0)).cast("float"))
+    return joined.select("source_id", "line_no", "edge", F.concat("features", extra).alias("features"), "here", e.alias("others_at_edges"), i.alias("others_inside"))
+
+
+def fit_furniture(edges: DataFrame, inside: DataFrame, most: int = TRAINING_LINES) -> Boost | None:
+    """A classifier of edge lines, from lines that recur at edges and hardly inside pages against lines inside pages.
+
+    Both carry the counts of their own mask, so that a body line that recurs, at
+    edges too, is known as such.  Those of half of the sample are blanked, so that
+    a header which stands only once is told by its looks.  A recurring line with a
+    sentence's end proves nothing: paragraphs end alike.
+    """
+    rare_inside = "others_inside * 20 <= others_at_edges + 1"
+    sure = f"({rare_inside}) and ((features[0] > 0 and (here > 1 or others_at_edges > 2)) or (features[8] = 0 and (here >= 3 or others_at_edges >= 4) and not (features[10] > 0 and features[15] > 0 and here < 3)))"
+    pick = lambda df: df.orderBy(F.xxhash64("source_id", "line_no"), "source_id", "line_no").limit(most // 2).select("features").collect()
+    good, bad = pick(edges.where(sure)), pick(inside)
     if len(good) < 20 or len(bad) < 20:
         return None
     rng = np.random.default_rng(3)
@@ -216,9 +246,13 @@ def fit_furniture(edges: DataFrame, lines: DataFrame, most: int = TRAINING_LINES
     # lines inside pages take part as if they stood at an edge
     x[inner, 1] = rng.choice([0, 0, 1, 2, EDGE], inner.sum())
     x[inner, 2] = np.where(x[inner, 1] < EDGE, EDGE, rng.choice([0, 1, 2], inner.sum()))
+    # the first and last lines of a page have no line beside them and look set apart
+    x[inner & (x[:, 1] == 0), 11] = 1
+    x[inner & (x[:, 2] == 0), 12] = 1
+    x[inner & (x[:, 2] == 0), 15] = 0
     blank = rng.random(len(x)) < 0.5
-    x[blank, -3], x[blank, -2], x[blank, -1] = 1, 1, 0
-    return Boost(trees=30, depth=4).fit(x, y)
+    x[blank, -3:] = 1, 0, 0
+    return Boost(trees=40, depth=4).fit(x, y)
 
 
 # ---------------------------------------------------------------- dictionary
@@ -266,10 +300,12 @@ def ocr_distance(token: str, word: str) -> float:
     """Edit distance from a read token to a meant word where a common confusion costs 0.2 and any other edit 1."""
     n, m = len(token), len(word)
     far = 99.0
+    # a path below 3 changes the length by 15 confusions at most
+    band = 16 if max(n, m) > LONG else max(n, m)
     d = [[far] * (m + 1) for _ in range(n + 1)]
     d[0][0] = 0.0
     for i in range(n + 1):
-        for j in range(m + 1):
+        for j in range(max(0, i - band), min(m, i + band) + 1):
             here = d[i][j]
             if here >= 3:
                 continue
@@ -299,28 +335,61 @@ def grams(word: str) -> list[tuple[str, int]]:
     return [(w[i : i + 2], i) for i in range(len(w) - 1)]
 
 
-def gram_rows(words: DataFrame, key: str, spread: bool) -> DataFrame:
-    """Positional 2-grams of ``key``; with ``spread`` also at the neighbouring places and lengths."""
+def shared_grams(token: str, word: str) -> int:
+    """Different grams of ``token`` that ``word`` has at the same place or one beside it."""
+    if abs(len(token) - len(word)) > 1:
+        return 0
+    at = [word_gram for word_gram, _ in grams(word)]
+    return len({g for g, i in grams(token) if g in at[max(0, i - 1) : i + 2]})
+
+
+def least_shared(length: int) -> int:
+    """Grams that a pair must share: one misread place leaves all grams of a token but those around it."""
+    return max(1, length - 3)
+
+
+def _gram_rows(words: DataFrame, key: str) -> DataFrame:
+    """``words`` once for each positional 2-gram of ``key``, with its ``gram``, ``place`` and ``size``."""
     padded = F.concat(F.lit("^"), F.col(key), F.lit("$"))
     n = F.length(key)
-    at = F.sequence(F.lit(0), n)
-    if spread:
-        rows = F.flatten(F.transform(at, lambda i: F.flatten(F.array(*(F.array(*(F.struct(F.substring(padded, i + 1, F.lit(2)).alias("gram"), (i + s).alias("place"), (n + e).alias("size")) for s in (-1, 0, 1))) for e in (-1, 0, 1))))))
-    else:
-        rows = F.transform(at, lambda i: F.struct(F.substring(padded, i + 1, F.lit(2)).alias("gram"), i.alias("place"), n.alias("size")))
+    rows = F.transform(F.sequence(F.lit(0), n), lambda i: F.struct(F.substring(padded, i + 1, F.lit(2)).alias("gram"), i.alias("place"), n.alias("size")))
     return words.select("*", F.explode(rows).alias("g")).select("*", "g.gram", "g.place", "g.size").drop("g")
 
 
+def _beside(rows: DataFrame) -> DataFrame:
+    """``rows`` also at the neighbouring places and sizes."""
+    steps = F.explode(F.array(*(F.struct(F.lit(s).alias("s"), F.lit(e).alias("e")) for s in (-1, 0, 1) for e in (-1, 0, 1)))).alias("step")
+    return rows.select("*", steps).withColumns({"place": F.col("place") + F.col("step.s"), "size": F.col("size") + F.col("step.e")}).drop("step")
+
+
+def _segment_rows(words: DataFrame, key: str, shifts: tuple[int, ...]) -> DataFrame:
+    """``words`` once for each of the five segments of ``key``, cut as for lengths up to one beside where shifts are asked."""
+    n = F.length(key)
+    sizes = [n + e for e in ((-1, 0, 1) if len(shifts) > 1 else (0,))]
+    at = lambda size, k: F.floor(size * k / 5).cast("int")
+    rows = F.array(*(F.struct(size.alias("size"), F.lit(k).alias("k"), F.substring(F.col(key), at(size, k) + 1 + s, at(size, k + 1) - at(size, k)).alias("segment")) for size in sizes for k in range(5) for s in shifts))
+    return words.select("*", F.explode(rows).alias("g")).select("*", "g.size", "g.k", "g.segment").drop("g")
+
+
 def candidates(tokens: DataFrame, dictionary: DataFrame) -> DataFrame:
-    """``(token, word, n, shared)``: dictionary words that share enough grams in place with an unknown token.
+    """``(token, word, n)``: dictionary words that may share ``least_shared`` grams in place with an unknown token.
 
-    One misread place leaves all grams but those around it, so a pair must share
-    all but four of the token's grams, and one at least.
+    A token of N grams that must share T of them shares one of any N - T + 1;
+    so it joins by its rarest that many, and common grams meet nobody.  What the
+    grams of a pair really share is counted by the caller.  Tokens and words
+    over LONG letters meet by segments, of which a misread place leaves three whole.
     """
-    a = gram_rows(tokens.select("token"), "token", True)
-    b = gram_rows(dictionary.select(F.col("key").alias("word"), "n"), "word", False)
-    pairs = a.join(b, ["gram", "place", "size"]).groupBy("token", "word", "n").agg(F.countDistinct("gram").alias("shared"))
-    return pairs.where(F.col("shared") >= F.greatest(F.lit(1), F.length("token") - 3)).select("token", "word", "n", (F.col("shared") / (F.length("token") + 1)).alias("shared"))
+    words = dictionary.select(F.col("key").alias("word"), "n")
+    short = F.length("token") <= LONG
+    b = _gram_rows(words.where(F.length("word") <= LONG + 1), "word")
+    often = _beside(b.groupBy("gram", "place", "size").agg(F.count("*").alias("often"))).groupBy("gram", "place", "size").agg(F.sum("often").alias("often"))
+    a = _gram_rows(tokens.select("token").where(short), "token").join(often, ["gram", "place", "size"], "left")
+    chosen = a.groupBy("token").agg(F.sort_array(F.collect_list(F.struct(F.coalesce("often", F.lit(0)).alias("often"), "gram", "place", "size"))).alias("all"))
+    needed = F.length("token") + 2 - F.greatest(F.lit(1), F.length("token") - 3)
+    chosen = chosen.select("token", F.explode(F.slice("all", F.lit(1), needed)).alias("g")).where("g.often > 0").select("token", "g.gram", "g.place", "g.size")
+    near = _beside(chosen).join(b, ["gram", "place", "size"]).select("token", "word", "n")
+    long = _segment_rows(tokens.select("token").where(~short), "token", (-1, 0, 1)).join(_segment_rows(words.where(F.length("word") >= LONG), "word", (0,)), ["size", "k", "segment"]).select("token", "word", "n")
+    return near.union(long).distinct()
 
 
 def fit_ranker(sample: list[tuple[str, int]]) -> Boost | None:
@@ -345,14 +414,10 @@ def fit_ranker(sample: list[tuple[str, int]]) -> Boost | None:
     x, y = [], []
 
     def look(token: str, meant: str | None) -> None:
-        shared: Counter[str] = Counter()
-        for g, i in grams(token):
-            for s in (-1, 0, 1):
-                for e in (-1, 0, 1):
-                    shared.update(index.get((g, i + s, len(token) + e), ()))
-        for word, k in shared.items():
-            if k >= max(1, len(token) - 3) and word != token:
-                x.append(pair_features(token, word, known[word], min(k, len(token) + 1) / (len(token) + 1)))
+        near = {w for g, i in grams(token) for s in (-1, 0, 1) for e in (-1, 0, 1) for w in index.get((g, i + s, len(token) + e), ())}
+        for word in sorted(near - {token}):
+            if (k := shared_grams(token, word)) >= least_shared(len(token)):
+                x.append(pair_features(token, word, known[word], k / (len(token) + 1)))
                 y.append(float(word == meant))
         plain = token.translate(_LOOKALIKE)
         if plain != token and meant not in known:
@@ -382,15 +447,19 @@ def replacements(tokens: DataFrame, dictionary: DataFrame, ranker: Boost | None)
     plain = F.translate("token", *(("".join(chr(k) for k in _LOOKALIKE), "".join(_LOOKALIKE.values()))))
     for one, two in (("ﬁ", "fi"), ("ﬂ", "fl"), ("ﬀ", "ff")):
         plain = F.replace(plain, F.lit(one), F.lit(two))
-    own = tokens.select("token", plain.alias("word"), F.lit(0).cast("long").alias("n"), F.lit(1.0).alias("shared")).where("word != token")
-    pairs = candidates(tokens, dictionary).unionByName(own)
+    own = tokens.where("length(token) > 2").select("token", plain.alias("word"), F.lit(0).cast("long").alias("n"), F.lit(True).alias("own")).where("word != token")
+    pairs = candidates(tokens, dictionary).select("*", F.lit(False).alias("own")).unionByName(own)
     shared = tokens.sparkSession.sparkContext.broadcast(ranker)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            token, word, n, s = (batch.column(i).to_pylist() for i in range(4))
-            score = shared.value.predict(np.array([pair_features(*p) for p in zip(token, word, n, s)]).reshape(-1, 9))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(score)], names=["token", "word", "score"])
+            kept = []
+            for token, word, n, own in zip(*(batch.column(i).to_pylist() for i in range(4))):
+                k = len(token) + 1 if own else shared_grams(token, word)
+                if own or k >= least_shared(len(token)):
+                    kept.append((token, word, pair_features(token, word, n, k / (len(token) + 1))))
+            score = shared.value.predict(np.array([f for _, _, f in kept]).reshape(-1, 9))
+            yield pa.RecordBatch.from_arrays([pa.array([t for t, _, _ in kept], pa.string()), pa.array([w for _, w, _ in kept], pa.string()), pa.array(score)], names=["token", "word", "score"])
 
     scored = pairs.mapInArrow(run, "token string, word string, score double").where(F.col("score") >= THRESHOLD)
     return scored.groupBy("token").agg(F.max(F.struct("score", "word")).alias("best")).select("token", "best.word", "best.score")
@@ -458,18 +527,23 @@ _TAIL = re.compile(r"([^\W_][\w'’@!$]*|[@!$]\w[\w'’@!$]*)[-¬\u00ad\u2010]$"
 _HEAD = re.compile(r"^[\"“(\[]?([\w'’@!$]+)")
 
 
-def _furniture(scanned: DataFrame) -> DataFrame:
+def furniture_lines(scanned: DataFrame) -> DataFrame:
     """``(source_id, gone)``: numbers of the furniture lines of each text."""
     lines = cut(edge_lines(scanned))
-    edges = cut(with_recurrence(lines))
-    model = fit_furniture(edges, lines)
+    counts = key_counts(lines)
+    total = lines.select(F.count_if("edge").alias("e"), F.sum(F.when(F.col("source_id").isNull(), F.col("n"))).alias("i")).first()
+    share = min(max((total[0] or 0) / max((total[0] or 0) + (total[1] or 0), 1), 0.01), 0.99)
+    edges = cut(with_recurrence(lines.where("edge"), counts, share))
+    # a bounded sample of inside lines before the join with the counts
+    sample = lines.where("not edge and size(features) > 0").orderBy(F.xxhash64("line_no", "source_id"), "source_id", "line_no").limit(TRAINING_LINES // 2)
+    model = fit_furniture(edges, with_recurrence(sample, counts, share))
     shared = edges.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             x = np.array(batch.column(2).to_pylist(), float).reshape(batch.num_rows, -1)
-            # too little to learn from: a page number at the edge, or a line that recurs at edges
-            found = shared.value.predict(x) >= THRESHOLD if shared.value is not None else (x[:, 0] > 0) | ((x[:, -3] >= 1.5) & (x[:, -1] == 0))
+            # too little to learn from: a page number at the edge, or a line that recurs at edges alone
+            found = shared.value.predict(x) >= THRESHOLD if shared.value is not None else (x[:, 0] > 0) | (((x[:, -3] > 1) | (x[:, -2] > 1)) & (x[:, -1] > 0))
             keep = pa.array(found, pa.bool_())
             yield pa.RecordBatch.from_arrays([batch.column(0).filter(keep), batch.column(1).filter(keep)], names=["source_id", "line_no"])
 
@@ -576,7 +650,7 @@ def scan_noise(texts: DataFrame, sources: DataFrame) -> dict[str, DataFrame]:
     listed = broadcast_if_small(listed_pages(sources))
     scanned = scanned_texts(texts, listed)
     counts = cut(clean_counts(texts, listed))
-    furniture = cut(_furniture(scanned))
+    furniture = cut(furniture_lines(scanned))
     whole = _with_gone(scanned, furniture)
     dictionary = counts.where((F.col("kind") == "w") & (F.col("n") >= LEAST_COUNT)).select("key", "n")
     sample = [(r[0], r[1]) for r in dictionary.orderBy(F.xxhash64("key"), "key").limit(TRAINING_WORDS).collect()]
@@ -592,7 +666,7 @@ def scan_noise(texts: DataFrame, sources: DataFrame) -> dict[str, DataFrame]:
     parts = F.posexplode(F.when(F.col("is_break"), F.array(F.concat("tail", "head"))).otherwise(F.array("tail", "head"))).alias("part", "token")
     of_pairs = found.select("source_id", "line_no", "next_no", "is_break", F.length("tail").alias("cut_at"), parts)
     every = both.where("token is not null").select("token").union(of_pairs.select("token")).distinct()
-    unknown = every.where("length(token) between 3 and 40").join(dictionary.withColumnRenamed("key", "token"), "token", "left_anti")
+    unknown = every.where("length(token) > 2 or (length(token) = 2 and token rlike '[^a-z]')").join(dictionary.withColumnRenamed("key", "token"), "token", "left_anti")
     best = cut(replacements(unknown, dictionary, fit_ranker(sample)))
     glyphs = _hits(whole, best)
     # of a broken word, the line that holds the first letter that differs

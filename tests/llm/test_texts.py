@@ -242,12 +242,69 @@ def test_recurrence_counts_all_inside_lines(spark):
     long[60] = "shall review the drawing " * 8
     texts = []
     for i in range(24):
-        lines = [f"top {c} {'x' * i}" for c in "abc"] + list(long.values()) + [f"end {c} {'y' * i}" for c in "abc"]
+        lines = [f"top {c} {'x' * i}" for c in "abcdefgh"[: scans.EDGE]] + list(long.values()) + [f"end {c} {'y' * i}" for c in "abcdefgh"[: scans.EDGE]]
         texts.append((i, "\n".join(lines), [1]))
-    texts.append((99, "\n".join([*long.values(), "middle", *"def"]), [1]))
+    texts.append((99, "\n".join([*long.values(), "middle", *"abcdefgh"]), [1]))
     lines = scans.edge_lines(spark.createDataFrame(texts, "source_id bigint, text string, pages array<int>").repartition(3))
-    got = {(r["source_id"], r["line_no"]): r["inner"] for r in scans.with_recurrence(lines).collect()}
-    assert [got[99, n] for n in (1, 2, 3)] == [24, 24, 24] and got[0, 1] == 0 and len(got) == 25 * 6
+    edges = scans.with_recurrence(lines.where("edge"), scans.key_counts(lines), 0.3)
+    got = {(r["source_id"], r["line_no"]): r["others_inside"] for r in edges.collect()}
+    assert [got[99, n] for n in (1, 2, 3)] == [24, 24, 24] and got[0, 1] == 0
+
+
+def wrapped_corpus(seed, sources):
+    """Scanned texts whose sentences recur but for their numbers, so that body lines recur at page edges too."""
+    rng = random.Random(seed)
+    kinds = [
+        "Staff found that {} percent of packets lacked a landscape plan.", "The bond for an array equals {} percent of its cost, or ${}, whichever is larger.", "A second visit costs ${} once the bond has been posted.",
+        "No inverter may stand closer than {} yards to a lot line, unless a variance has been granted.", "The inspector returns the deposit when the conduit run lies within {} feet of a well.", "Under section {}, a solar array may cover at most {} percent of the parcel.",
+    ]
+    texts, listed, want = [], [], set()
+    for i in range(sources):
+        header = f"{rng.choice(['Oak', 'Elm', 'Ash', 'Fir'])}{rng.choice(['ford', 'wick', 'dale'])} County Code"
+        pages = rng.randint(2, 6)
+        words, lines, now = [], [], ""
+        for _ in range(pages * 14):
+            words += rng.choice(kinds).format(rng.randint(2, 99), rng.randint(2, 99)).split()
+        width = rng.randint(50, 72)
+        for w in words:
+            if len(now) + len(w) + 1 > width:
+                lines.append(now)
+                now = w
+            else:
+                now = f"{now} {w}".strip()
+        lines.append(now)
+        per = -(-len(lines) // pages)
+        out, number = [], 0
+        for p in range(pages):
+            block = [header, "", *lines[p * per : (p + 1) * per], "", f"- {p + 1} -"] if p % 2 == 0 else [*lines[p * per : (p + 1) * per], f"Page {p + 1} of {pages}"]
+            want |= {(i, number + 1), (i, number + len(block))} if p % 2 == 0 else {(i, number + len(block))}
+            out.append("\n".join(block))
+            number += len(block) + 1
+        texts.append((i, "\n\f\n".join(out)))
+        listed.append((i, {p + 1: "d" for p in range(pages)}))
+    return texts, listed, want
+
+
+@pytest.mark.parametrize("sources", [30, 300])
+def test_furniture_is_told_alike_at_every_scale(spark, sources):
+    texts, listed, want = wrapped_corpus(4, sources)
+    t, s = spark.createDataFrame(texts, "source_id bigint, text string"), spark.createDataFrame(listed, "source_id bigint, ocr_pages map<int,string>")
+    got = {(r["source_id"], r["line_no"]) for r in scans.noisy_lines(t, s).where("kind = 'furniture'").collect()}
+    assert len(got & want) >= 0.95 * len(want) and len(got & want) >= 0.95 * len(got)
+
+
+def test_candidates_lose_no_word_within_reach(spark):
+    rng = random.Random(8)
+    dictionary = sorted({"".join(rng.choice("abcdeilmnorstu") for _ in range(rng.randint(3, 11))) for _ in range(600)} | {"l" + "abcdefgh" * 6, "internationalisation" * 3})
+    misread = set()
+    for w in dictionary:
+        i = rng.randrange(len(w))
+        misread.add(w[:i] + rng.choice("xzqk0|") + w[i + 1 :])
+    tokens = sorted(misread - set(dictionary))
+    got = {(r["token"], r["word"]) for r in scans.candidates(spark.createDataFrame([(t,) for t in tokens], "token string"), spark.createDataFrame([(w, 5) for w in dictionary], "key string, n long")).collect()}
+    want = {(t, w) for t in tokens for w in dictionary if scans.shared_grams(t, w) >= scans.least_shared(len(t))}
+    short = {(t, w) for t, w in want if len(t) <= scans.LONG}
+    assert short <= got and len({t for t, w in got if len(t) > scans.LONG and scans.ocr_distance(t, w) <= 1}) == 2
 
 
 def test_ocr_distance_and_boost():
