@@ -104,8 +104,23 @@ def test_segment_index_against_brute_force(spark):
 
     letters = lambda s: "".join(c for c in s if c.isalnum())
     want = {s: min(i for i, t in enumerate(strings) if near(s, t) and letters(s) == letters(t)) for s in strings}
-    got = {r["probe"]: r["first_id"] for r in history.neighbours(history.segment_rows(df), df.select("address")).collect()}
-    assert got == want
+    index, probes = history.segment_rows(df), history.probe_rows(df.select("address"))
+    assert {r["probe"]: r["first_id"] for r in history.neighbours(index, probes).collect()} == want
+    # with any letter changed, dropped or added: recall 1
+    want = {s: min(i for i, t in enumerate(strings) if near(s, t)) for s in strings}
+    assert {r["probe"]: r["first_id"] for r in history.neighbours(index, probes, same_letters=False).collect()} == want
+
+
+def test_typed_addresses_are_found(spark):
+    rng = random.Random(12)
+    base = [f"{rng.choice(['a', 'b'])}.org/" + "".join(rng.choice("abcdefgh0123/-") for _ in range(rng.randint(10, 30))) for _ in range(400)]
+    typo = []
+    for s in base:
+        i = rng.randrange(len(s))
+        typo.append(rng.choice([s[:i] + "z" + s[i + 1 :], s[:i] + s[i + 1 :], s[:i] + "z" + s[i:]]))
+    index = history.segment_rows(spark.createDataFrame([(s, i) for i, s in enumerate(base)], "address string, first_id bigint"))
+    got = {r["probe"] for r in history.neighbours(index, history.probe_rows(spark.createDataFrame([(t,) for t in typo], "address string")), same_letters=False).collect()}
+    assert got == set(typo)
 
 
 ART = "artifact_id bigint, url string, batch_no int, source_id bigint"
@@ -121,11 +136,26 @@ def test_repeated_in_history(spark, tmp_path):
     assert rows(history.repeated_in_history(a, s)) == want
     assert rows(history.repeated_in_history(a.union(a), s.union(s))) == want
     assert history.repeated_in_history(a.limit(0), s.limit(0)).count() == 0
-    # batch by batch against the stored index gives the same
-    path = str(tmp_path / "index")
-    for low, high in ((0, 0), (1, 1), (2, 2)):
-        history.append_segments(a.where(F.col("batch_no").between(low, high)), path)
-    assert rows(history.repeated_in_history(a, s, index=spark.read.parquet(path))) == want
+    # ids that interleave between batches
+    mixed = a.withColumn("batch_no", F.when(F.col("artifact_id") == 4, 5).otherwise(F.col("batch_no")))
+    assert rows(history.repeated_in_history(mixed, s)) == want
+
+
+def test_a_batch_reads_only_its_buckets(spark, tmp_path):
+    def grown(n):
+        index = history.History(spark, str(tmp_path / f"index{n}"), buckets=64)
+        page = spark.range(1, n + 1).select(F.col("id").alias("artifact_id"), F.concat(F.lit("x.org/"), F.sha2(F.col("id").cast("string"), 224), F.col("id").cast("string")).alias("address"), F.lit(None).cast("string").alias("digest"))
+        index.append(page)
+        batch = spark.createDataFrame([(n + 1, "y.org/new", None), (n + 2, page.where("artifact_id = 7").first()["address"], None)], "artifact_id bigint, address string, digest string")
+        looks = history.probe_rows(batch.select("address"))
+        read = index._stored(looks)
+        assert read.select("bucket").distinct().count() <= looks.select("length", "position", "segment").distinct().count()
+        assert rows(index.first_seen(batch)) == [(n + 2, 7)]
+        assert "PartitionFilters: [bucket" in read._jdf.queryExecution().simpleString()
+        return read.count()
+
+    # a batch of two reads a part of the buckets, whatever the history
+    assert grown(200) < 2 * 200 / 3 and grown(2000) < 2 * 2000 / 3
 
 
 # ---- 5: pieces
