@@ -247,6 +247,41 @@ def test_consensus_finds_behaviour(spark):
     assert reliability["good-0"] > reliability["good-3"] > reliability["always"]
 
 
+def test_more_annotators_than_anchors(spark):
+    rng = np.random.default_rng(3)
+    data, truth, plain = [], {}, {}
+    for i in range(400):
+        t = rng.choice(5, p=[0.4, 0.25, 0.15, 0.1, 0.1])
+        truth[i] = consensus.CLASSES[t]
+        votes = []
+        for s in rng.choice(450, 20, replace=False):
+            # a third of the annotators says anything
+            a = t if rng.random() < (0.9 if s % 3 else 0.2) else rng.integers(5)
+            votes.append(consensus.CLASSES[a])
+            data.append((i, "f", f"w{s:03}", votes[-1], True, datetime(2024, 1, 1), ""))
+        data.append((i, "f", "anchor-1", truth[i] if rng.random() < 0.8 else "No", True, datetime(2024, 1, 1), ""))
+        data.append((i, "f", "anchor-2", truth[i] if rng.random() < 0.8 else "Yes", True, datetime(2024, 1, 1), ""))
+    got = {r["cluster_id"]: r for r in consensus.label_consensus(spark.createDataFrame(data, CELL)).collect()}
+    assert np.mean([got[i]["value"] == truth[i] for i in truth]) > 0.97 and all(0 < r["agreement"] <= 1 and 0 < r["support"] <= 1 for r in got.values())
+    assert consensus.annotator_reliability(spark.createDataFrame(data, CELL)).count() == len({d[2] for d in data})
+
+
+def test_weights_decide_against_the_majority(spark):
+    """Three sources that turn Yes and No round outvote two good ones unless they are weighed."""
+    rng = np.random.default_rng(5)
+    data, truth = [], {}
+    for i in range(600):
+        truth[i] = str(rng.choice(["Yes", "No", "Sometimes"], p=[0.4, 0.35, 0.25]))
+        turned = {"Yes": "No", "No": "Yes"}.get(truth[i], truth[i])
+        for name, value, chance in (("a", truth[i], 0.95), ("b", truth[i], 0.95), ("c", truth[i], 0.9), ("x", turned, 0.85), ("y", turned, 0.85), ("z", turned, 0.7)):
+            if name != "c" or i % 3 == 0:
+                data.append((i, "f", name, value if rng.random() < chance else str(rng.choice(consensus.CLASSES)), True, datetime(2024, 1, 1), ""))
+    got = {r["cluster_id"]: r["value"] for r in consensus.label_consensus(spark.createDataFrame(data, CELL)).collect()}
+    # which camp tells the truth is a matter of convention, but the two camps are told apart
+    right = np.mean([got[i] == truth[i] for i in truth])
+    assert right > 0.9 or np.mean([got[i] == {"Yes": "No", "No": "Yes"}.get(truth[i], truth[i]) for i in truth]) > 0.9
+
+
 def test_final_answers(spark):
     t = lambda d: datetime(2024, 1, d)
     data = [(1, "f", "A_b", "Y", True, t(1), ""), (1, "f", " a-B ", "no.", True, t(2), ""), (1, "f", "a-b", " ", True, t(3), ""), (1, "f", "c", "N/A", True, None, ""), (1, "f", "d", "Yes", False, t(1), ""), (1, "f", "d", "Yes", None, t(1), ""), (1, "f", None, "Yes", True, t(1), ""), (2, None, "c", "Yes", True, t(1), ""), (3, "f", "c", "maybe", True, t(1), ""), (4, "f", "c", "No", True, t(1), ""), (4, "f", "c", "Yes", True, t(1), "")]
