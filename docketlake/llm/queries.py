@@ -110,6 +110,13 @@ def p7_unmatched(spark: SparkSession, sf_dir: str) -> DataFrame:
     return open_.join(items, "item_id").groupBy("roster", reason.alias("reason")).agg(F.count("*").alias("items"))
 
 
+def p7_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The nearest entries of each typed value that meets no single one, by distance and reference frequency."""
+    from docketlake.llm.canonical import ranked_candidates
+
+    return ranked_candidates(table(spark, sf_dir, "roster_items"), table(spark, sf_dir, "targets"), table(spark, sf_dir, "rosters"))
+
+
 def p8_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     from docketlake.llm.encode import encode_corpus
 
@@ -140,7 +147,7 @@ def p10_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return text_statistics(table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (p1_found, p1_records, p2_found, p2_paragraphs, p3_found, p4_found, p4_body, p5_found, p5_pieces, p6_found, p6_agreement, p6_reliability, p7_found, p7_matches, p7_unmatched, p8_ids, p9_found, p9_spans, p10_found, p10_statistics)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (p1_found, p1_records, p2_found, p2_paragraphs, p3_found, p4_found, p4_body, p5_found, p5_pieces, p6_found, p6_agreement, p6_reliability, p7_found, p7_matches, p7_unmatched, p7_candidates, p8_ids, p9_found, p9_spans, p10_found, p10_statistics)}
 
 _ADDRESS = r"""
 u as (select artifact_id, batch_no, regexp_replace(regexp_replace(regexp_replace(trim(url), '\s+', '', 'g'), '#.*$', ''), '^(?i)[a-z][a-z0-9+.-]*://', '') as u from digger_artifacts where url is not null and artifact_id is not null),

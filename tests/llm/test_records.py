@@ -307,7 +307,7 @@ def test_parse():
 def test_symmetric_delete_finds_all_within_two():
     rng = random.Random(12)
     names = sorted({"".join(rng.choice("abc") for _ in range(8)) for _ in range(150)})
-    d = canonical.Dictionary([(n, "r", None, n) for n in names], {"r": ["name"]})
+    d = canonical.Dictionary([(n, "r", None, n) for n in names])
     for _ in range(60):
         typed = "".join(rng.choice("abc") for _ in range(rng.randint(7, 9)))
         want = {n for n in names if canonical.distance(typed, n, 2) <= 2 and canonical.edits_for(typed) == 2}
@@ -317,7 +317,7 @@ def test_symmetric_delete_finds_all_within_two():
 def test_long_names_within_two_edits_are_found():
     rng = random.Random(13)
     names = ["".join(rng.choice("bdgkmnprst") for _ in range(n)) for n in (63, 64, 65, 66, 67, 80, 150) for _ in range(8)]
-    d = canonical.Dictionary([(n, "r", None, n) for n in names], {"r": ["name"]})
+    d = canonical.Dictionary([(n, "r", None, n) for n in names])
     for name in names:
         for _ in range(25):
             typed = name
@@ -336,5 +336,26 @@ def test_match_items(spark):
     want = sorted([(1, "a"), (1, "a"), (2, "b"), (3, "unmatched"), (4, "unmatched"), (5, "unmatched"), (6, "d"), (7, "unmatched"), (8, "unmatched"), (9, "c"), (10, "unmatched")])
     assert rows(canonical.match_items(df, targets, rosters).select("item_id", "target_id")) == want
     assert {r[1] for r in rows(canonical.match_items(df, targets.limit(0), rosters).select("item_id", "target_id"))} == {"unmatched"}
-    slices, fields = [[tuple(r)] for r in targets.select("target_id", "roster", "state", "name").collect()], {"p": ["state", "name"], "u": ["name"]}
-    assert set(rows(canonical._match_in_slices(df, slices, fields).select("item_id", "target_id"))) == set(want)
+    # a list too long to broadcast: the same rows, repeated ones too
+    assert rows(canonical.match_items(df, targets, rosters, largest=0)) == rows(canonical.match_items(df, targets, rosters))
+    ranked = canonical.ranked_candidates(df.where("item_id = 3").union(df.where("item_id = 1")), targets, rosters).orderBy("rank").collect()
+    assert [(r["name"], r["items"], r["target_id"], r["frequency"]) for r in ranked] == [("Skellelfell County", 1, "a", 2), ("Skellelfell County", 1, "b", 0)]
+
+
+def test_table_and_dictionary_agree(spark):
+    rng = random.Random(21)
+    word = lambda n: "".join(rng.choice("abcde") for _ in range(n))
+    names = [word(n) for n in (3, 5, 6, 8, 8, 9, 12, 66, 70) for _ in range(12)]
+    entries = [(f"t{i}", rng.choice("pq"), rng.choice(["TX", "MO", None]), n.title() + rng.choice([" County", " City", ""]), rng.choice(["x", "y", None])) for i, n in enumerate(names)]
+    typed = []
+    for i in range(400):
+        n = rng.choice(names)
+        for _ in range(rng.randint(0, 2)):
+            k = rng.randrange(len(n))
+            n = rng.choice([n[:k] + n[k + 1 :], n[:k] + "e" + n[k:], n[:k] + "a" + n[k + 1 :]]) or "e"
+        typed.append((i, rng.choice("pqz"), rng.choice(["Texas", "mo", None, "??"]), n + rng.choice(["", " cnty", " city", ", TX"]), rng.choice(["X", "y", None])))
+    targets = spark.createDataFrame(entries, "target_id string, roster string, state string, name string, zone string")
+    items = spark.createDataFrame(typed, "item_id bigint, roster string, state string, name string, zone string")
+    rosters = spark.createDataFrame([("p", ["state", "name", "zone"]), ("q", ["name"]), ("q", None)], "roster string, fields array<string>")
+    one, two = (rows(canonical.match_items(items, targets, rosters, largest=n).fillna(-1, ["edits"])) for n in (1000, 5))
+    assert one == two and 50 < sum(r[1] != "unmatched" for r in one) < 400
