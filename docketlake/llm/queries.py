@@ -72,6 +72,18 @@ def p5_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return split_selections(table(spark, sf_dir, "page_selections"), table(spark, sf_dir, "captured_texts"))
 
 
+def p5_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``(source_id, piece_no, start, stop, piece)``: the captured texts, written out as files, cut by byte ranges."""
+    from uuid import uuid4
+
+    from docketlake.llm.pieces import split_files, written_files
+    from docketlake.session import checkpoint_dir
+
+    folder = f"{checkpoint_dir(spark).removeprefix('file:')}/files-{uuid4().hex}"
+    pieces = split_files(written_files(table(spark, sf_dir, "captured_texts"), folder), max_bytes=4000, overlap_bytes=200)
+    return pieces.select(F.regexp_extract("path", r"(\d+)\.txt$", 1).cast("long").alias("source_id"), "piece_no", "start", "stop", "piece")
+
+
 def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     from docketlake.llm.consensus import label_consensus
 
@@ -147,7 +159,7 @@ def p10_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return text_statistics(table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (p1_found, p1_records, p2_found, p2_paragraphs, p3_found, p4_found, p4_body, p5_found, p5_pieces, p6_found, p6_agreement, p6_reliability, p7_found, p7_matches, p7_unmatched, p7_candidates, p8_ids, p9_found, p9_spans, p10_found, p10_statistics)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (p1_found, p1_records, p2_found, p2_paragraphs, p3_found, p4_found, p4_body, p5_found, p5_pieces, p5_files, p6_found, p6_agreement, p6_reliability, p7_found, p7_matches, p7_unmatched, p7_candidates, p8_ids, p9_found, p9_spans, p10_found, p10_statistics)}
 
 _ADDRESS = r"""
 u as (select artifact_id, batch_no, regexp_replace(regexp_replace(regexp_replace(trim(url), '\s+', '', 'g'), '#.*$', ''), '^(?i)[a-z][a-z0-9+.-]*://', '') as u from digger_artifacts where url is not null and artifact_id is not null),

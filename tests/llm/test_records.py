@@ -221,6 +221,57 @@ def test_split_files(spark, tmp_path):
     assert "".join(p["piece"] for p in parts) == text and all(p["stop"] - p["start"] <= 500 for p in parts)
 
 
+def test_ranges_are_the_slices_of_the_text(spark):
+    rng = random.Random(31)
+    texts = ["".join(rng.choice("ab é日🙂\n\f") for _ in range(n)) for n in (0, 1, 15, 16, 17, 300)] + ["x" * 100]
+    df = spark.createDataFrame(list(enumerate(texts)), "source_id bigint, text string")
+    got = {(r["source_id"], r["range_no"]): r for r in pieces.ranges_of(df, 16, 3).collect()}
+    want = {(i, k) for i, t in enumerate(texts) for k in range(max(1, -(-len(t) // 16)))}
+    assert set(got) == want
+    for (i, k), r in got.items():
+        assert r["chunk"] == texts[i][max(0, 16 * k - 3) : 16 * k + 19] and r["before"] == min(16 * k, 3) and r["chars"] == len(texts[i])
+    pages = {}
+    for r in pieces.page_table(df, 16).orderBy("page").collect():
+        pages.setdefault(r["source_id"], []).append(r["chars"])
+    for i, t in enumerate(texts):
+        lines, blocks = t.split("\n"), [[]]
+        for x in lines:
+            blocks.append([]) if x == "\f" else blocks[-1].append(x)
+        assert len(pages[i]) == len(blocks)
+
+
+def test_ranges_read_each_byte_of_a_file_about_once(spark, tmp_path, monkeypatch):
+    """A worker reads its ranges with their halos and the pieces: twice the file and the halos, whatever its size."""
+    text = "One sentence of the file ends here. " * 6000
+    texts = spark.createDataFrame([(7, text), (None, "x"), (8, None)], "source_id bigint, text string")
+    files = pieces.written_files(texts, str(tmp_path / "out"))
+    assert [r["size"] for r in files.collect()] == [len(text)]
+    read = spark.sparkContext.accumulator(0)
+    opened = open
+
+    class Counting:
+        def __init__(self, f):
+            self.f = f
+
+        def __enter__(self):
+            return self
+
+        def __exit__(self, *_):
+            self.f.close()
+
+        def seek(self, at):
+            self.f.seek(at)
+
+        def read(self, n):
+            data = self.f.read(n)
+            read.add(len(data))
+            return data
+
+    parts = sorted(pieces.split_files(files, 1000, 0, range_bytes=1 << 14, halo=64, opener=lambda path: Counting(opened(path, "rb"))).collect(), key=lambda r: r["piece_no"])
+    assert "".join(p["piece"] for p in parts) == text
+    assert read.value <= 2 * len(text) + 2 * 64 * (len(text) // (1 << 14) + 1)
+
+
 # ---- 6: consensus
 
 CELL = "cluster_id bigint, field string, label string, value string, assessed boolean, labelled_at timestamp_ntz, url string"
