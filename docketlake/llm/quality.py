@@ -23,9 +23,16 @@ PROSE_LINES = 0.15
 SENTENCE_WORDS = (5.5, 80)
 #: A list entry has at most this many words on average.
 ENTRY_WORDS = 9
-#: Text of fewer different words than this share (and many words) is repetition.
+#: Words of the windows over which different words are counted: texts of every length are measured alike.
+WINDOW = 200
+#: Text of fewer different words than this share of a window is repetition.
 FEW_DIFFERENT = 0.22
-NGRAM = 3
+#: Sizes of the word n-grams whose cover of the text is measured.
+NGRAMS = (2, 3, 4, 5, 6)
+#: Text with more than this share of repeated paragraphs, of at least FEW_PARAGRAPHS, is boilerplate.
+REPEATED_PARAGRAPHS, FEW_PARAGRAPHS = 0.6, 5
+#: Sentences of which one n-gram covers this share, and few of whose words differ, are no prose.
+DOMINANT, SOME_DIFFERENT = 0.4, 0.5
 
 #: Frequent function words of languages written in Latin letters.
 FUNCTION_WORDS = frozenset(
@@ -135,6 +142,42 @@ def _columns(line: str) -> int:
     return commas if commas >= 3 and len(line.split()) <= 4 * commas else 0
 
 
+def distinct_share(words: list[str]) -> float:
+    """Different words per word, the mean of windows of WINDOW words that cover the text (the last one reaches back)."""
+    n = len(words)
+    if n <= WINDOW:
+        return len(set(words)) / n
+    starts = [*range(0, n - WINDOW, WINDOW), n - WINDOW]
+    return sum(len(set(words[k : k + WINDOW])) for k in starts) / (WINDOW * len(starts))
+
+
+def top_cover(words: list[str]) -> int:
+    """Most characters that occurrences of one word n-gram, none overlapping another, cover; 0 if none occurs twice.
+
+    An n-gram that occurs twice goes on from shorter ones that do, so only such places are looked at again.
+    """
+    best = 0
+    alive = range(len(words) - NGRAMS[0] + 1)
+    for size in NGRAMS:
+        places: dict[tuple, list[int]] = {}
+        for i in alive:
+            if i + size <= len(words):
+                places.setdefault(tuple(words[i : i + size]), []).append(i)
+        alive = []
+        for gram, at in places.items():
+            if len(at) > 1:
+                alive += at
+                chars = sum(map(len, gram))
+                if len(at) * chars > best:
+                    times, free = 0, -1
+                    for i in at:
+                        if i >= free:
+                            times, free = times + 1, i + size
+                    if times > 1:
+                        best = max(best, times * chars)
+    return best
+
+
 def statistics(text: str | None) -> tuple:
     """The values of FIELDS for one text.
 
@@ -156,15 +199,11 @@ def statistics(text: str | None) -> tuple:
     bullets = sum(1 for x in full if not (x[0].isalpha() and x[1:2].isalpha()) and _BULLET.match(x))
     lower = text.lower().split()
     common = sum(w in FUNCTION_WORDS for w in lower) / n
-    different = len(set(lower)) / n
+    different = distinct_share(lower)
     twice = 1 - len({x.strip() for x in full}) / len(full)
     paragraphs = [p for p in _BLANK_LINE.split(text) if p.strip()]
     twice_p = 1 - len({p.strip() for p in paragraphs}) / len(paragraphs)
-    if n > NGRAM:
-        gram, times = Counter(zip(lower, lower[1:], lower[2:])).most_common(1)[0]
-        top = min(1.0, times * sum(map(len, gram)) / size) if times > 1 else 0.0
-    else:
-        top = 0.0
+    top = top_cover(lower) / size
     prose = total = prose_lines = 0
     for kind, run in _units(lines):
         own = sum(map(len, run))
@@ -173,20 +212,21 @@ def statistics(text: str | None) -> tuple:
             prose += own
             prose_lines += len(run)
     share = prose / total
-    kind = _kind(text, full, lower, n, size, symbols, bullets, common, different, twice, top, share, prose_lines)
+    kind = _kind(text, full, lower, n, size, symbols, bullets, common, different, twice, twice_p if len(paragraphs) >= FEW_PARAGRAPHS else 0.0, top, share, prose_lines)
     return (n, size / n, symbols / size, digits / size, len(full), ended, bullets / len(full), common, different, twice, twice_p, top, share, kind)
 
 
-def _kind(text, full, words, n, size, symbols, bullets, common, different, twice, top, share, prose_lines) -> str:
+def _kind(text, full, words, n, size, symbols, bullets, common, different, twice, twice_p, top, share, prose_lines) -> str:
     other_lines = len(full) - prose_lines
-    repeated = n >= 40 and (different < FEW_DIFFERENT and n < 600 or different < 0.05)
+    repeated = n >= 40 and different < FEW_DIFFERENT
     if not text.isascii():
         odd = len(_ODD.findall(text))
         mixed = sum(1 for w in words if not w.isascii() and any(not c.isalnum() for c in w[1:-1]) and not w.replace("’", "").replace("–", "").replace("-", "").isalnum())
         if odd > 0.15 * size or (mixed > 0.5 * n and symbols > 0.2 * size):
             return "junk"
     if share >= PROSE_SHARE and not (other_lines >= 6 and prose_lines < PROSE_LINES * len(full)):
-        return "junk" if (twice > 0.8 and len(full) >= 8) or (top > 0.4 and n >= 40) else "prose"
+        # what says the same again and again is boilerplate, however well written
+        return "junk" if (twice > 0.8 and len(full) >= 8) or (top > DOMINANT and different < SOME_DIFFERENT and n >= 40) or twice_p > REPEATED_PARAGRAPHS or repeated else "prose"
     letters = [w for w in words if w.isalpha() and len(w) > 1]
     dumb = sum(1 for w in letters if not _VOWEL.search(w))
     long_runs = sum(len(w) for w in words if len(w) >= 40 and not w.startswith(("http", "www")))
@@ -204,7 +244,7 @@ def _kind(text, full, words, n, size, symbols, bullets, common, different, twice
     per_line = n / len(full)
     if tabular and not (bullets > 0.6 * len(full) and usual < 2):
         return "table"
-    if repeated and (top > 0.4 or per_line > 6 and common < 0.2):
+    if repeated and (top > DOMINANT or per_line > 6 and common < 0.2):
         return "junk"
     if len(full) >= 3 and (bullets >= 0.4 * len(full) or per_line <= ENTRY_WORDS):
         return "list"

@@ -184,6 +184,35 @@ def test_html_blocks_and_viterbi():
     assert tuple(field.decode(flat, starts)) == best
 
 
+# ---- 10: length and repetition
+
+
+def test_kind_does_not_turn_with_length():
+    rng = random.Random(3)
+    vocabulary = ["the"] * 15 + [f"w{i}ord" for i in range(90)]
+    words = [rng.choice(vocabulary) for _ in range(5000)]
+    for n in (590, 600, 610, 5000):
+        assert quality.distinct_share(words[:n]) == pytest.approx(quality.distinct_share(words[:590]), abs=0.03)
+    few = [rng.choice(["fee", "permit", "zone", "lot", "the", "of"]) for _ in range(5000)]
+    kinds = {quality.statistics(" ".join(few[:n]))[-1] for n in (300, 599, 601, 2500, 5000)}
+    assert len(kinds) == 1
+
+
+def test_top_cover_counts_no_overlap():
+    assert quality.top_cover("a a a a a".split()) == 4  # two pairs
+    assert quality.top_cover("a b c".split()) == 0 and quality.top_cover([]) == 0
+    phrase = "one two three four five six".split()
+    assert quality.top_cover(phrase + ["x"] + phrase + ["y"] + phrase) == 3 * sum(map(len, phrase))
+
+
+def test_repeated_paragraphs_are_boilerplate():
+    rng = random.Random(5)
+    notice = " ".join(sentence(rng, 14) for _ in range(3))
+    own = [" ".join(sentence(rng, 14) for _ in range(3)) for _ in range(8)]
+    assert quality.statistics("\n\n".join(own))[-1] == "prose"
+    assert quality.statistics("\n\n".join([notice] * 7 + own[:2]))[-1] == "junk"
+
+
 # ---- 2: scans
 
 
