@@ -28,8 +28,10 @@ PRETOKEN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(
 MASK_BITS = 2
 #: Bytes the rolling hash sees.
 HASH_WINDOW = 8
-#: Bytes of chunk text a worker keeps; the table is dropped and refilled beyond it.
+#: Bytes of known chunks a worker keeps, all told; the table is dropped and refilled beyond it.
 CACHE_BYTES = 128 << 20
+#: Bytes of a table entry beside its text and ids: two object heads and the slot.
+ENTRY_BYTES = 2 * 33 + 104
 
 _GEAR = np.random.default_rng(20240607).integers(1, 2**32, 256, dtype=np.uint64).astype(np.uint32)
 _WORKER: dict = {}
@@ -74,6 +76,8 @@ class ChunkEncoder:
         self.mask_bits, self.cache_bytes = mask_bits, cache_bytes
         self.known: dict[bytes, bytes] = {}
         self.held = 0
+        #: bytes of all texts, and those that had to be encoded
+        self.met = self.learnt = 0
 
     def _learn(self, chunks: list[bytes]) -> None:
         """Encode new chunks.  Those that start at a proven join are encoded in
@@ -90,7 +94,7 @@ class ChunkEncoder:
                 start = end
         for chunk in rest:
             self.known[chunk] = np.array(self.encoding.encode_ordinary(chunk.decode("utf-8")), np.int32).tobytes()
-        self.held += sum(map(len, chunks))
+        self.held += sum(len(c) + len(self.known[c]) + ENTRY_BYTES for c in chunks)
 
     def encode(self, offsets: np.ndarray, data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of the texts ``data[offsets[i]:offsets[i + 1]]``: row offsets and flat ids."""
@@ -105,6 +109,7 @@ class ChunkEncoder:
         chunks = [raw[a:b] for a, b in zip(at, at[1:])]
         if fresh := [c for c in dict.fromkeys(chunks) if c not in self.known]:
             self._learn(fresh)
+        self.met, self.learnt = self.met + len(raw), self.learnt + sum(map(len, fresh))
         parts = [self.known[c] for c in chunks]
         sizes = np.zeros(len(parts) + 1, np.int64)
         np.cumsum(np.fromiter(map(len, parts), np.int64, len(parts)) // 4, out=sizes[1:])

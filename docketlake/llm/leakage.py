@@ -12,6 +12,7 @@ import re
 import unicodedata
 from bisect import bisect_right
 from collections.abc import Iterator
+from uuid import uuid4
 
 import numpy as np
 import pyarrow as pa
@@ -24,13 +25,16 @@ MAX_REPLACED = 2
 #: Words of a seed: MIN_WORDS - MAX_REPLACED unchanged words lie in MAX_REPLACED + 1
 #: stretches, so that one stretch has at least this many.
 SEED_WORDS = (MIN_WORDS - MAX_REPLACED) // (MAX_REPLACED + 1)
-#: Words looked at on either side of a seed.
-LOOK = MIN_WORDS + 6
+#: Words looked at on either side of a seed, and places by which a word may stand aside (compounds written apart).
+LOOK, ASIDE = MIN_WORDS + 8, 2
+#: Letters of the longest word that may stand for another.
+WORD_CHARS = 40
 #: Characters by which the places of two seeds may drift apart within one passage.
 DRIFT = 24
-#: Held-out sets up to this many items are sent to the workers as one automaton;
-#: a larger set is scanned in slices of this size.
+#: Items of one automaton; a larger set makes several, all run in the same pass over the corpus.
 ITEMS_PER_AUTOMATON = 20_000
+#: Characters of items that a worker holds at most; more are scanned in further passes.
+PASS_CHARS = 64 << 20
 
 #: Marks of notes that may stand inside a passage.
 NOTE_MARK = re.compile(
@@ -179,8 +183,8 @@ class LeakFinder:
     def _similar(self, row, item, word, start, heads, tails, distinct, sizes, codes, counts) -> np.ndarray:
         """Which clusters of seeds have a stretch of words around them that mostly agrees, by word codes.
 
-        A word counts as equal if it stands at its place or one beside it, since
-        the text may write a compound apart; one more word may differ for that.
+        A word counts as equal if it stands up to ASIDE places beside its own, since
+        the text may write compounds apart; so many more words may differ for that.
         """
         upto = np.cumsum([0, *sizes])  # characters before each word of the batch
         first_word = np.cumsum([0, *counts])
@@ -191,49 +195,49 @@ class LeakFinder:
             chars = upto[first_word[row[anchor]]] + start[anchor]
             place = np.searchsorted(upto, chars, side="right") - 1
             place = np.clip(place, first_word[row[anchor]], np.maximum(first_word[row[anchor] + 1] - 1, 0))
-            look = np.arange(-LOOK + 1, LOOK - 1)
+            look = np.arange(-LOOK + ASIDE, LOOK - ASIDE)
             there = line[np.clip(LOOK + place[:, None] + look, 0, line.size - 1)]
             mine = self.base[item[anchor]][:, None] + word[anchor][:, None] + look
             equal = np.zeros(there.shape, bool)
-            for shift in (-1, 0, 1):
+            for shift in range(-ASIDE, ASIDE + 1):
                 equal |= there == self.line[mine + shift]
             ran = np.cumsum(np.pad(equal, ((0, 0), (1, 0))), axis=1)
             width = np.minimum(self.need[item[anchor]], self.min_words)
             best = np.zeros(heads.size, np.int64)
             for w in np.unique(width):
-                best = np.where(width == w, (ran[:, w:] - ran[:, :-w]).max(axis=1), best)
-            good |= best >= width - MAX_REPLACED - 1
+                wide = w + ASIDE  # words written apart take more room
+                best = np.where(width == w, (ran[:, wide:] - ran[:, :-wide]).max(axis=1), best)
+            good |= best >= width - MAX_REPLACED - ASIDE
         return good | (distinct >= self.need[item[heads]])
 
     @staticmethod
-    def _may_agree(item: list[str], need: int, seeds: list[tuple[int, int]], joined: str) -> bool:
+    def _run(item: list[str], k: int, at: set[tuple[int, int]], step: int, most: int, joined: str) -> int:
+        """Most item words from ``k`` on (back with step -1) that can agree, from the (place, replacements left) in ``at``.
+
+        A replaced word may be anything of up to WORD_CHARS letters: every place of the next item word within reach is tried.
+        """
+        run = 0
+        while at and run < most and 0 <= k < len(item):
+            w, after = item[k], item[k + step] if 0 <= k + step < len(item) else None
+            new: set[tuple[int, int]] = set()
+            for pos, left in at:
+                if joined.startswith(w, pos if step > 0 else pos - len(w)) and (step > 0 or pos >= len(w)):
+                    new.add((pos + step * len(w), left))
+                if left and after is not None and w.isalpha():
+                    lo, hi = (pos + 1, pos + WORD_CHARS + len(after)) if step > 0 else (max(0, pos - WORD_CHARS - len(after)), pos - 1)
+                    to = joined.find(after, lo, hi)
+                    while to >= 0:
+                        new.add((to if step > 0 else to + len(after), left - 1))
+                        to = joined.find(after, to + 1, hi)
+            at, k, run = new, k + step, run + bool(new)
+        return run
+
+    @classmethod
+    def _may_agree(cls, item: list[str], need: int, seeds: list[tuple[int, int]], joined: str) -> bool:
         """A quick test that no agreeing place fails: like ``_agrees`` without word limits in the text."""
-        done: set[tuple[int, int]] = set()
         for place, k in seeds:
-            if (place, k) in done:
-                continue
-            pos, j, run, left = place, k, 0, MAX_REPLACED
-            while j < len(item):
-                w = item[j]
-                if joined.startswith(w, pos):
-                    done.add((pos, j))
-                    pos += len(w)
-                elif left and j + 1 < len(item) and w.isalpha() and (to := joined.find(item[j + 1], pos + 1, pos + 32 + len(item[j + 1]))) >= 0:
-                    pos, left = to, left - 1
-                else:
-                    break
-                j, run = j + 1, run + 1
-            pos, j, left = place, k, MAX_REPLACED
-            while j > 0 and run < need:
-                w = item[j - 1]
-                if pos >= len(w) and joined.startswith(w, pos - len(w)):
-                    pos -= len(w)
-                elif left and j > 1 and w.isalpha() and (to := joined.rfind(item[j - 2], max(0, pos - 32 - len(item[j - 2])), pos - 1)) >= 0:
-                    pos, left = to + len(item[j - 2]), left - 1
-                else:
-                    break
-                j, run = j - 1, run + 1
-            if run >= need:
+            onward = cls._run(item, k, {(place, MAX_REPLACED)}, 1, need, joined)
+            if onward >= need or onward + cls._run(item, k - 1, {(place, MAX_REPLACED)}, -1, need - onward, joined) >= need:
                 return True
         return False
 
@@ -291,6 +295,10 @@ class LeakFinder:
         return None
 
 
+#: The automata that a worker made last, by the number of the query.
+_WORKER: dict[str, list[LeakFinder]] = {}
+
+
 def leaked_items(
     corpus: DataFrame,
     items: DataFrame,
@@ -307,29 +315,37 @@ def leaked_items(
     text.  Case, spacing, punctuation, line breaks, note marks and single replaced
     words do not matter.  Null and empty texts and items give no rows, repeated
     items count once; an empty side gives an empty table.  The corpus is read once
-    and not shuffled; items are sent in automata of a bounded number of items.
+    for each PASS_CHARS of items (the held-out set comes through the driver in such
+    parts) and not shuffled; a worker makes its automata once.
     """
     spark = corpus.sparkSession
     wanted = items.select(item_col, item_text).where(f"`{item_text}` is not null and `{item_col}` is not null").dropDuplicates()
     out_type = f"`{id_col}` {corpus.schema[id_col].dataType.simpleString()}, `{item_col}` {items.schema[item_col].dataType.simpleString()}, start int, end int"
-    slices: list[list[tuple[int, str]]] = [[]]
+    passes: list[list[list[tuple[int, str]]]] = [[[]]]
+    held = 0
     for row in wanted.toLocalIterator():
-        if len(slices[-1]) >= ITEMS_PER_AUTOMATON:
-            slices.append([])
-        slices[-1].append((row[0], row[1]))
+        if held + len(row[1]) > PASS_CHARS and held:
+            passes.append([[]])
+            held = 0
+        elif len(passes[-1][-1]) >= ITEMS_PER_AUTOMATON:
+            passes[-1].append([])
+        passes[-1][-1].append((row[0], row[1]))
+        held += len(row[1])
+    kinds = pa.schema([(id_col, _arrow(corpus, id_col)), (item_col, _arrow(items, item_col)), ("start", pa.int32()), ("end", pa.int32())])
     result = None
-    for part in slices:
-        shared = spark.sparkContext.broadcast(part)
+    for slices in passes:
+        shared, number = spark.sparkContext.broadcast(slices), uuid4().hex
 
-        def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            finder = LeakFinder(shared.value, min_words)
+        def run(batches: Iterator[pa.RecordBatch], shared=shared, number=number) -> Iterator[pa.RecordBatch]:
+            if (finders := _WORKER.get(number)) is None:
+                _WORKER.clear()
+                finders = _WORKER[number] = [LeakFinder(part, min_words) for part in shared.value]
             for batch in batches:
-                keys = batch.column(0).to_pylist()
-                hits = [(keys[row], item, start, end) for row, item, start, end in finder.scan(batch.column(1).to_pylist())]
+                keys, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+                hits = [(keys[row], item, start, end) for finder in finders for row, item, start, end in finder.scan(texts)]
                 columns = [list(c) for c in zip(*hits)] or [[], [], [], []]
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, kinds)], schema=kinds)
 
-        kinds = pa.schema([(id_col, _arrow(corpus, id_col)), (item_col, _arrow(items, item_col)), ("start", pa.int32()), ("end", pa.int32())])
         piece = corpus.select(id_col, text_col).mapInArrow(run, out_type)
         result = piece if result is None else result.unionByName(piece)
     return result if spans else result.select(id_col, item_col)

@@ -184,6 +184,45 @@ def test_html_blocks_and_viterbi():
     assert tuple(field.decode(flat, starts)) == best
 
 
+# ---- 9: recall on made cases
+
+
+def test_leaks_with_replaced_and_broken_words_are_found():
+    rng = random.Random(17)
+    items = [(i, " ".join(rng.choice(WORDS) + rng.choice(["", "s"]) for _ in range(40))) for i in range(60)]
+    finder = leakage.LeakFinder(items)
+    texts, want = [], []
+    for case in range(300):
+        i, text = rng.choice(items)
+        words = text.split()
+        start = rng.randint(0, 40 - 15)
+        part = words[start : start + rng.randint(14, 15)]
+        # up to two single words replaced by one that may hold the next word, and two words broken at line ends
+        for k in rng.sample([2, 5, 8, 11], rng.randint(0, 2)):
+            part[k] = rng.choice(["contractor", "a" + part[k + 1] + "ing", "x", "thatothersurelylongword"])
+        for k in rng.sample([0, 4, 7, 12], 2):
+            w = part[k]
+            part[k] = f"{w[:3]}-\n{w[3:]}" if len(w) > 5 else w
+        noise = lambda n: " ".join(rng.choice(["alpha", "beta", "gamma", "delta"]) for _ in range(n))
+        texts.append(f"{noise(rng.randint(0, 30))} {' '.join(part).upper() if case % 3 == 0 else ' '.join(part)}, {noise(rng.randint(0, 30))}")
+        want.append((case, i))
+    got = {(r, i) for r, i, _, _ in finder.scan(texts)}
+    assert len(got & set(want)) >= 0.98 * len(want)
+
+
+def test_many_items_take_one_pass(spark, monkeypatch):
+    rng = random.Random(18)
+    items = [(i, " ".join(rng.choice(WORDS) for _ in range(16))) for i in range(30)]
+    docs = [(i, f"before {t} after") for i, t in items]
+    c, b = spark.createDataFrame(docs, "doc_id bigint, text string"), spark.createDataFrame(items, "item_id bigint, text string")
+    whole = rows(leakage.leaked_items(c, b))
+    monkeypatch.setattr(leakage, "ITEMS_PER_AUTOMATON", 7)
+    assert rows(leakage.leaked_items(c, b)) == whole and len(whole) >= 30
+    assert leakage.leaked_items(c, b)._jdf.queryExecution().toString().count("MapInArrow") <= 4
+    monkeypatch.setattr(leakage, "PASS_CHARS", 500)
+    assert rows(leakage.leaked_items(c, b)) == whole
+
+
 # ---- 10: length and repetition
 
 
