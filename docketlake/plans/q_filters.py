@@ -56,11 +56,12 @@ def flt_domain_scope(t: Tables) -> DataFrame:
 
 
 @R.add(f"""
-select artifact_id, case when not ends_with({_HOST}, '.example') then 'outside_allowed_domains' when not regexp_matches(url, '/(code|building|planning|documents|files)/') then 'outside_include_patterns' when regexp_matches(url, '[?&]lang=es') then 'matches_excluded_pattern'
-  when contains({_FOLD}, 'minutes') then 'matches_excluded_term' end as reason from digger_artifacts where url is not null and not contains(url, '%')""")
+with d as (select artifact_id, url, url_decode(url) as plain from digger_artifacts where url is not null)
+select artifact_id, case when not ends_with({_HOST}, '.example') then 'outside_allowed_domains' when not (regexp_matches(url, '/(code|building|planning|documents|files)/') or regexp_matches(plain, '/(code|building|planning|documents|files)/')) then 'outside_include_patterns'
+  when regexp_matches(url, '[?&]lang=es') or regexp_matches(plain, '[?&]lang=es') then 'matches_excluded_pattern' when contains({_FOLD.replace('url', 'plain')}, 'minutes') then 'matches_excluded_term' end as reason from d""")
 def flt_final_url_guard(t: Tables) -> DataFrame:
-    """FLT8: why a final address is refused."""
-    a = t.digger_artifacts.where("url is not null and not contains(url, '%')")
+    """FLT8: why a final address is refused, as written or with its percent escapes resolved."""
+    a = t.digger_artifacts.where("url is not null")
     return a.select("artifact_id", urls.guard(F.col("url"), [".example"], ["/(code|building|planning|documents|files)/"], ["[?&]lang=es"], ["minutes"]).alias("reason"))
 
 
@@ -106,12 +107,11 @@ def flt_retryable(t: Tables) -> DataFrame:
 
 
 @R.add(f"""
-with {CLAIMS_SQL}, q as (select obs_id, field, lower(quote) as quote, lower(value) as value from claims where quote is not null)
-select obs_id, field, contains(' ' || trim(regexp_replace(regexp_replace(quote, '[^a-z0-9\\s]|_', ' ', 'g'), '\\s+', ' ', 'g')) || ' ', ' ' || trim(regexp_replace(regexp_replace(value, '[^a-z0-9\\s]|_', ' ', 'g'), '\\s+', ' ', 'g')) || ' ') as supported
-from q where regexp_matches(quote, '^[\\x00-\\x7f]*$') and trim(regexp_replace(value, '[^a-z0-9]+', '', 'g')) <> ''""")
+with {CLAIMS_SQL}, q as (select obs_id, field, trim(regexp_replace(strip_accents(lower(quote)), '[^\\p{{L}}\\p{{N}}]+', ' ', 'g')) as q, trim(regexp_replace(strip_accents(lower(value)), '[^\\p{{L}}\\p{{N}}]+', ' ', 'g')) as v from claims where quote is not null)
+select obs_id, field, contains(' ' || q || ' ', ' ' || v || ' ') as supported from q where v <> ''""")
 def flt_quote_verified(t: Tables) -> DataFrame:
     """FLT17, STR2: values that stand in their quotes as whole words."""
-    q = claims(t).where(F.col("quote").isNotNull() & F.col("quote").rlike(r"^[\x00-\x7f]*$"))
+    q = claims(t).where(F.col("quote").isNotNull())
     form = q.select("obs_id", "field", text.evidence_form(F.col("value")).alias("v"), text.evidence_form(F.col("quote")).alias("q")).where("v != ''")
     return form.select("obs_id", "field", text.contains_quote(F.col("v"), F.col("q")).alias("supported"))
 

@@ -79,14 +79,14 @@ def jn_unique_keys(t: Tables) -> DataFrame:
 @R.add("""
 with w as (select doc_id, list_filter(string_split_regex(lower(text), '[^a-z0-9]+'), lambda x: x <> '') as w from documents where text is not null),
 d as (select doc_id, ' ' || array_to_string(w, ' ') || ' ' as t from w),
-n as (select distinct target_id, array_to_string(list_filter(string_split_regex(lower(name), '[^a-z0-9]+'), lambda x: x <> ''), ' ') as name from targets where state in ('VT', 'WA')),
+n as (select distinct target_id, array_to_string(list_filter(string_split_regex(lower(name), '[^a-z0-9]+'), lambda x: x <> ''), ' ') as name from targets where name is not null),
 f as (select distinct split_part(name, ' ', 1) as first from n),
 g as (select doc_id, unnest(range(1, len(w) + 1)) as i, w from w), s as (select doc_id, w, i from g where w[i] in (select first from f)),
 m as (select doc_id, n.target_id, count(*) as hits from s join n on array_to_string(w[i:i + len(string_split(n.name, ' ')) - 1], ' ') = n.name group by 1, 2)
 select doc_id, target_id, hits from m""")
 def jn_dictionary(t: Tables) -> DataFrame:
-    """JN9, STR21: names of two states in all documents, as whole words, through an n-gram join."""
-    return joins.dictionary_hits(t.documents, t.targets.where("state in ('VT', 'WA')"), "doc_id", "text", "target_id", "name")
+    """JN9, STR21: all names of the roster in all documents, as whole words, through an n-gram join."""
+    return joins.dictionary_hits(t.documents, t.targets, "doc_id", "text", "target_id", "name")
 
 
 _DECODED = "replace(lower(url), '%2d', '-')"
@@ -196,30 +196,18 @@ def jn_latest(t: Tables) -> DataFrame:
 
 _PATHS_SQL = """
 f as (select distinct regexp_extract(original, '^(.*)/[^/]*$', 1) as path from captured_sources where original is not null),
-b as (select distinct regexp_extract(original, '^(.*)/[^/]*$', 1) as path from captured_sources where size = 0 and source_id % 3 = 0)"""
-
-
-_WHOLE_PATHS_SQL = """
-f as (select distinct regexp_extract(original, '^(.*)/[^/]*$', 1) as path from captured_sources where original is not null),
 b as (select distinct regexp_extract(original, '^(.*)/[^/]*$', 1) as path from captured_sources where size = 0 and original is not null)"""
 
 
-def _folders(t: Tables, blocked: str) -> tuple[DataFrame, DataFrame]:
-    folder = F.regexp_extract("original", "^(.*)/[^/]*$", 1).alias("path")
-    return t.captured_sources.where("original is not null").select(folder).distinct(), t.captured_sources.where(blocked).select(folder).distinct()
+def _folders(t: Tables) -> tuple[DataFrame, DataFrame]:
+    named, folder = t.captured_sources.where("original is not null"), F.regexp_extract("original", "^(.*)/[^/]*$", 1).alias("path")
+    return named.select(folder).distinct(), named.where("size = 0").select(folder).distinct()
 
 
 @R.add(f"with {_PATHS_SQL} select path from f where exists (select 1 from b where b.path = f.path or starts_with(f.path, b.path || '/') or starts_with(b.path, f.path || '/'))")
 def jn_path_overlap(t: Tables) -> DataFrame:
-    """JN19: folders that equal, hold or lie in a blocked one; of the files of size 0 only those with source_id % 3 = 0 block, as its SQL has it; ``jn_path_overlap_whole`` takes all."""
-    f, b = _folders(t, "size = 0 and source_id % 3 = 0")
-    return joins.overlapping_paths(f, b, "path")
-
-
-@R.add(f"with {_WHOLE_PATHS_SQL} select path from f where exists (select 1 from b where b.path = f.path or starts_with(f.path, b.path || '/') or starts_with(b.path, f.path || '/'))")
-def jn_path_overlap_whole(t: Tables) -> DataFrame:
     """JN19: folders that equal, hold or lie in a blocked one; all files of size 0 block."""
-    f, b = _folders(t, "size = 0 and original is not null")
+    f, b = _folders(t)
     return joins.overlapping_paths(f, b, "path")
 
 
@@ -337,15 +325,8 @@ def set_distinct_ordered(t: Tables) -> DataFrame:
 
 @R.add(f"with {_PATHS_SQL}, u as (select path from f union select regexp_extract(path, '^([^/]*)', 1) from b) select path from u where not exists (select 1 from u o where starts_with(u.path, o.path || '/'))")
 def set_minimal_paths(t: Tables) -> DataFrame:
-    """SET6: folders without one that another folder holds; of the files of size 0 only those with source_id % 3 = 0 add their first folder, as its SQL has it; ``set_minimal_paths_whole`` takes all."""
-    f, b = _folders(t, "size = 0 and source_id % 3 = 0")
-    return joins.minimal_paths(f.union(b.select(F.substring_index("path", "/", 1))), "path")
-
-
-@R.add(f"with {_WHOLE_PATHS_SQL}, u as (select path from f union select regexp_extract(path, '^([^/]*)', 1) from b) select path from u where not exists (select 1 from u o where starts_with(u.path, o.path || '/'))")
-def set_minimal_paths_whole(t: Tables) -> DataFrame:
     """SET6: folders without one that another folder holds; all files of size 0 add their first folder."""
-    f, b = _folders(t, "size = 0 and original is not null")
+    f, b = _folders(t)
     return joins.minimal_paths(f.union(b.select(F.substring_index("path", "/", 1))), "path")
 
 
@@ -379,29 +360,16 @@ def snk_orphans(t: Tables) -> DataFrame:
     return t.observations.join(kept, "record_id", "left_anti").groupBy("target").agg(F.count("*").alias("orphans"))
 
 
-def _crawl(t: Tables, lines: DataFrame) -> DataFrame:
-    pairs = lines.select(F.concat(F.lit("p"), "l_partkey").alias("a"), F.concat(F.lit("s"), "l_suppkey").alias("b")).distinct()
-    links = pairs.select(F.col("a").alias("src"), F.col("b").alias("dst")).union(pairs.select("b", "a"))
-    seeds = t._spark.createDataFrame([("p1",)], "page string")
-    return joins.reachable(links, seeds, 2)
-
-
-@R.add("""
-with recursive l as (select distinct l_partkey as src, l_suppkey as dst from lineitem where l_partkey <= 300), e as (select 'p' || src as src, 's' || dst as dst from l union select 's' || dst, 'p' || src from l),
-b as (select 'p1' as page, 0 as depth union all select e.dst, b.depth + 1 from b join e on e.src = b.page where b.depth < 2)
-select page, min(depth) as depth from b group by page""")
-def src_crawl(t: Tables) -> DataFrame:
-    """SRC7: pages within two links of a seed, at their smallest depth, over the links of the first 300 parts only, as its SQL has it; ``src_crawl_whole`` follows all links."""
-    return _crawl(t, t.lineitem.where("l_partkey <= 300"))
-
-
 @R.add("""
 with recursive l as (select distinct l_partkey as src, l_suppkey as dst from lineitem), e as (select 'p' || src as src, 's' || dst as dst from l union select 's' || dst, 'p' || src from l),
 b as (select 'p1' as page, 0 as depth union all select e.dst, b.depth + 1 from b join e on e.src = b.page where b.depth < 2)
 select page, min(depth) as depth from b group by page""")
-def src_crawl_whole(t: Tables) -> DataFrame:
+def src_crawl(t: Tables) -> DataFrame:
     """SRC7: pages within two links of a seed, at their smallest depth, over all links (the part-supplier graph stands in for links)."""
-    return _crawl(t, t.lineitem)
+    pairs = t.lineitem.select(F.concat(F.lit("p"), "l_partkey").alias("a"), F.concat(F.lit("s"), "l_suppkey").alias("b")).distinct()
+    links = pairs.select(F.col("a").alias("src"), F.col("b").alias("dst")).union(pairs.select("b", "a"))
+    seeds = t._spark.createDataFrame([("p1",)], "page string")
+    return joins.reachable(links, seeds, 2)
 
 
 __all__ = ["R", "urls"]

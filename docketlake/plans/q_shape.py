@@ -117,10 +117,10 @@ def prj_titles(t: Tables) -> DataFrame:
     return shape.titled(shaped, {"target_id": "Target", "roster": "Roster", "name": "Name", "county": "County", "state": "State", "geo_id": "FIPS"})
 
 
-@R.add(r"select doc_id, trim(regexp_replace(text, '[ \t\n\r\f\v]+', ' ', 'g')) as text from documents where regexp_matches(text, '^[\x00-\x7f]*$')")
+@R.add(r"select doc_id, trim(regexp_replace(text, '[ \t\n\r\f\v]+', ' ', 'g')) as text from documents where text is not null")
 def prj_collapse_text(t: Tables) -> DataFrame:
-    """PRJ10: white space collapsed (texts of plain ASCII, where both engines agree what white space is)."""
-    return t.documents.where(F.col("text").rlike(r"^[\x00-\x7f]*$")).select("doc_id", text.collapse(F.col("text")).alias("text"))
+    """PRJ10: white space collapsed."""
+    return t.documents.where("text is not null").select("doc_id", text.collapse(F.col("text")).alias("text"))
 
 
 @R.add("""
