@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 #: Elements whose text is no text, and elements that end a line.
 SILENT = frozenset(("script", "style", "noscript", "nav", "template"))
 BLOCK = frozenset("address article aside blockquote br dd div dl dt fieldset figure footer form h1 h2 h3 h4 h5 h6 header hr li main ol p pre section table tbody tfoot thead title tr ul".split())
-#: Longer cells than this many times a row's columns are no header.
+#: The line between two pages of a text.
 PAGE_BREAK = "\n\f\n"
 
 
@@ -230,6 +230,16 @@ def html_to_text(html: Column) -> Column:
     return F.pandas_udf(run, "string")(html)
 
 
+def links_of(pages_: DataFrame, id_col: str, html_col: str, base: Column) -> DataFrame:
+    """``(id, address, label)``: the anchors of pages, addresses made absolute against ``base``."""
+
+    def run(html: pd.Series, root: pd.Series) -> pd.Series:
+        return pd.Series([html_links(h, b) for h, b in zip(html, root)])
+
+    found = F.pandas_udf(run, "array<struct<address:string,label:string>>")(F.col(html_col), base)
+    return pages_.select(id_col, F.explode(found).alias("_l")).select(id_col, "_l.address", "_l.label")
+
+
 def pages(texts: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """``(id, page, page_text)``: texts cut at lines that hold only a form feed."""
     return texts.select(id_col, F.posexplode(F.split(text_col, PAGE_BREAK)).alias("_p", "page_text")).select(id_col, (F.col("_p") + 1).alias("page"), "page_text")
