@@ -19,8 +19,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Pages that are labelled and fitted at most; they are those of smallest hashed id.
-TRAINING_PAGES = 1200
+#: Pages that are labelled and fitted at most; they are those of smallest hashed id among pages of up to TRAINING_CHARS.
+TRAINING_PAGES, TRAINING_CHARS = 1200, 40_000
 EPOCHS = 6
 #: Feature weights share this many places.
 WIDTH = 1 << 14
@@ -140,11 +140,10 @@ def features(lines: list[str], tags: list[str] | None = None) -> tuple[np.ndarra
         name = [
             f"s={s}", f"b={before},s={s}", f"a={after},s={s}", f"ba={before},{s},{after}", f"n={min(len(words), 12)},s={s}",
             f"first={first_block},s={s}", f"last={last_block},s={s}", f"top={min(order, 4)}", f"end={min(n - 1 - order, 6)}", f"tenth={10 * order // n}",
-            f"control={bool(_CONTROL.match(line.strip()))}", f"side={bool(_SIDE.match(line.strip()))}", f"foot={bool(_FOOTER.search(line))},s={s}", f"notice={bool(_NOTICE.search(line))},s={s}",
             f"dated={bool(_DATED.search(line))}", f"end={line.rstrip()[-1:]}" if not line.rstrip()[-1:].isalnum() else "end=alnum", f"title={line.istitle()}",
             f"line={' '.join(words)}" if len(words) <= 8 else "line=long",
         ]
-        name += [f"w={w}" for w in words[:30]] if s in ("short", "bar", "note", "li", "td") else [f"p={w}" for w in words[:12]]
+        name += [f"w={w}" if s in ("short", "bar", "note", "li", "td") else f"p={w}" for w in dict.fromkeys(words)]
         if tags is not None:
             name += [f"t={t}" for t in tags[i].split()]
         starts.append(len(flat))
@@ -280,6 +279,59 @@ def label_pages(pages: list[list[str]]) -> list[list[int]]:
     return labels
 
 
+#: Elements whose blocks are furniture, and elements that hold a page's own body.
+SITE_TAGS = frozenset("nav footer aside header form button menu".split())
+BODY_TAGS = frozenset(("main", "article"))
+
+
+def label_blocks(blocks: list[tuple[str, str]]) -> list[int] | None:
+    """Labels of an HTML page's blocks by their ancestor tags, or None for a page whose tags do not tell."""
+    tags = [set(t.split()) for _, t in blocks]
+    if not any(t & BODY_TAGS for t in tags) or not any(t & SITE_TAGS for t in tags):
+        return None
+    return [FURNITURE if t & SITE_TAGS or not t & BODY_TAGS else BODY for t in tags]
+
+
+def html_features(blocks: list[tuple[str, str]], tagged: bool = True) -> tuple[np.ndarray, np.ndarray]:
+    """Features of an HTML page's blocks, with those of their ancestor tags."""
+    return features([x for x, _ in blocks], [t for _, t in blocks] if tagged else None)
+
+
+def train_html(pages: DataFrame, most: int = TRAINING_PAGES, id_col: str = "source_id", html_col: str = "html") -> Field:
+    """A field fitted to a bounded sample of HTML pages whose own tags label them.
+
+    Each page takes part with its tags and without, so that pages which mark
+    nothing are told by the words and places learnt from those that do.
+    """
+    sample = pages.where(F.col(html_col).rlike("(?i)<(main|article)") & (F.length(html_col) <= 4 * TRAINING_CHARS)).orderBy(F.xxhash64(id_col), id_col).limit(most).select(html_col).collect()
+    examples = []
+    for r in sample:
+        blocks = html_blocks(r[0])
+        if labels := label_blocks(blocks):
+            examples += [(*html_features(blocks, tagged), np.array(labels)) for tagged in (True, False)]
+    return Field().fit(examples)
+
+
+def html_body(pages: DataFrame, field: Field, id_col: str = "source_id", html_col: str = "html") -> DataFrame:
+    """``(id, block_no, text, body)`` of every leaf block of HTML pages; blocks are numbered from 1.
+
+    Null and empty pages have no block; repeated rows repeat theirs.
+    """
+    shared = pages.sparkSession.sparkContext.broadcast((field.weights.astype(np.float32), field.moves))
+    kind = pages.schema[id_col].dataType.simpleString()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = Field(*shared.value)
+        for batch in batches:
+            for i, html in enumerate(batch.column(1).to_pylist()):
+                if blocks := html_blocks(html):
+                    labels = own.decode(*html_features(blocks))
+                    n = len(blocks)
+                    yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array([i] * n)), pa.array(range(1, n + 1), pa.int32()), pa.array([x for x, _ in blocks], pa.string()), pa.array([y == BODY for y in labels], pa.bool_())], names=[id_col, "block_no", "text", "body"])
+
+    return pages.select(id_col, html_col).mapInArrow(run, f"`{id_col}` {kind}, block_no int, text string, body boolean")
+
+
 def web_pages(texts: DataFrame, sources: DataFrame | None = None, artifacts: DataFrame | None = None) -> DataFrame:
     """``(source_id, text)`` of the texts captured from web pages.
 
@@ -296,8 +348,13 @@ def web_pages(texts: DataFrame, sources: DataFrame | None = None, artifacts: Dat
 
 
 def train(pages: DataFrame, most: int = TRAINING_PAGES, id_col: str = "source_id") -> Field:
-    """A field fitted to a bounded sample of the pages, labelled by label_pages."""
-    sample = pages.orderBy(F.xxhash64(id_col), id_col).limit(most).select("text").collect()
+    """A field fitted to a bounded sample of the pages, labelled by label_pages.
+
+    At most TRAINING_PAGES texts of TRAINING_CHARS come to the driver.  The phrases
+    that label_pages knows are no features of the field, which has to tell them by
+    their words, their neighbours and their place.
+    """
+    sample = pages.where(F.length("text") <= TRAINING_CHARS).orderBy(F.xxhash64(id_col), id_col).limit(most).select("text").collect()
     texts = [r[0].split("\n") for r in sample if r[0] and r[0].strip()]
     examples = [(*features(p), np.array(y)) for p, y in zip(texts, label_pages(texts)) if y]
     return Field().fit(examples)

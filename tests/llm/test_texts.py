@@ -184,6 +184,34 @@ def test_html_blocks_and_viterbi():
     assert tuple(field.decode(flat, starts)) == best
 
 
+# ---- 4: tags
+
+
+def test_tags_teach_and_pages_without_them_are_told_by_words(spark):
+    rng = random.Random(23)
+    menu = ["Zabble", "Quorn desk", "Mip board", "Tarn hall", "Ost files", "Plum yard"]
+    notes = ["Frobnicated by Wibble", "Zork notice", "Ring 555-0100"]
+
+    def page(i, plain):
+        tag = (lambda name: "div") if plain else (lambda name: name)
+        links = "".join(f"<li><a href=/{x}>{x}</a></li>" for x in rng.sample(menu, 4))
+        body = "".join(f"<p>{sentence(rng, 12)}</p>" for _ in range(rng.randint(2, 5)))
+        foot = "".join(f"<p>{x}</p>" for x in rng.sample(notes, 2))
+        return (i, f"<html><body><{tag('nav')}><ul>{links}</ul></{tag('nav')}><{tag('main')}><h1>Rules {i}</h1>{body}</{tag('main')}><{tag('footer')}>{foot}</{tag('footer')}></body></html>")
+
+    tagged = spark.createDataFrame([page(i, False) for i in range(60)], "source_id bigint, html string")
+    field = boilerplate.train_html(tagged)
+    for plain in (False, True):
+        pages = [page(i, plain) for i in range(100, 130)] + [(1, None), (2, "")]
+        got = boilerplate.html_body(spark.createDataFrame(pages, "source_id bigint, html string"), field).collect()
+        right = sum(r["body"] == (r["text"] not in menu + notes) for r in got)
+        assert right >= 0.97 * len(got) and {r["source_id"] for r in got} == set(range(100, 130))
+    # the tags alone decide where words tell nothing
+    places = ["html body nav ul li", "html body nav ul li", "html body main h1", "html body main p", "html body main p", "html body footer p"]
+    labels = field.decode(*boilerplate.html_features([("Unseen words here", t) for t in places]))
+    assert labels == [int("main" not in t) for t in places]
+
+
 # ---- 9: recall on made cases
 
 
