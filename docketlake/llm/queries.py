@@ -22,6 +22,13 @@ def p1_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return surviving_records(table(spark, sf_dir, "observations"), table(spark, sf_dir, "extraction_results"))
 
 
+def p1_consensus(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Values elected by graded weights, where many members may overrule the best-founded one."""
+    from docketlake.llm.survivors import consensus_values
+
+    return consensus_values(table(spark, sf_dir, "observations"), table(spark, sf_dir, "extraction_results"))
+
+
 def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     from docketlake.llm.scans import noisy_lines
 
@@ -159,7 +166,7 @@ def p10_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return text_statistics(table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (p1_found, p1_records, p2_found, p2_paragraphs, p3_found, p4_found, p4_body, p5_found, p5_pieces, p5_files, p6_found, p6_agreement, p6_reliability, p7_found, p7_matches, p7_unmatched, p7_candidates, p8_ids, p9_found, p9_spans, p10_found, p10_statistics)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (p1_found, p1_records, p1_consensus, p2_found, p2_paragraphs, p3_found, p4_found, p4_body, p5_found, p5_pieces, p5_files, p6_found, p6_agreement, p6_reliability, p7_found, p7_matches, p7_unmatched, p7_candidates, p8_ids, p9_found, p9_spans, p10_found, p10_statistics)}
 
 _ADDRESS = r"""
 u as (select artifact_id, batch_no, regexp_replace(regexp_replace(regexp_replace(trim(url), '\s+', '', 'g'), '#.*$', ''), '^(?i)[a-z][a-z0-9+.-]*://', '') as u from digger_artifacts where url is not null and artifact_id is not null),

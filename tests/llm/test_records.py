@@ -74,6 +74,25 @@ def test_consensus_by_tokens():
     assert [c[1] for c in profile if c[1]] == ["a", "c", "d"] and [c[0] for c in profile if c[0]] == ["a", "b", "c"]
 
 
+def test_many_members_may_overrule_the_best_founded(spark):
+    data = [obs(1, "1-2", "p", {"contact_office": "planning desk of the city", "permit_fee": 5}, "target", "2024-01-01")]
+    data += [obs(i, "1-2", "p", {"contact_office": v}, "shared", "2019-01-01") for i, v in enumerate(["building office of the town", "Building office of the town", "building office of a town", "building desk of the town"], 2)]
+    data += [obs(9, "7", "p", {"contact_office": "alone"})]
+    o, r = spark.createDataFrame(data, OBS), spark.createDataFrame([], RES)
+    first = {x["field"]: x["obs_id"] for x in survivors.survivors(o, r).collect()}
+    vote = {x["field"]: (x["group_id"], x["obs_id"], x["value"]) for x in survivors.consensus_values(o, r).collect()}
+    assert first == {"contact_office": 1, "permit_fee": 1}
+    # column by column: building over planning (5.5 to 3.0), desk over office (4.3 to 4.1), town over city
+    assert vote["permit_fee"] == (1, 1, "5") and vote["contact_office"] == (1, 5, "building desk of the town") and set(vote) == set(first)
+    assert rows(survivors.consensus_values(o.union(o), r).select("field", "obs_id")) == rows(survivors.consensus_values(o, r).select("field", "obs_id"))
+    assert survivors.consensus_values(o.limit(0), r).count() == 0
+
+
+def test_star_alignment():
+    assert survivors.aligned_to(["a", "b", "c"], ["a", "x", "b"]) == [(1, 0, "a"), (1, 1, "x"), (2, 0, "b"), (3, 0, None)]
+    assert survivors.aligned_to([], ["a"]) == [(0, 1, "a")] and survivors.token_distance(["a", "b"], ["b"]) == 1
+
+
 # ---- 3: history
 
 
