@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docketlake.functions.measures import exact
@@ -36,3 +36,12 @@ def keyword_classifier(docs: DataFrame, id_col: str, text_col: str, required: Se
     long = F.length(text_col) >= 50
     passes = long & (hits(required) >= least if required else F.lit(True))
     return docs.select(id_col, passes.alias("passes"), F.when(long, exact(0.7 * share(required) + 0.3 * share(welcome), 4)).otherwise(F.lit(0.0)).alias("score"))
+
+
+def curation(human: Column, failed: Column, held: Column, automatic: Column) -> tuple[Column, Column]:
+    """``(decision, curated)``: a person's ``keep`` or ``reject`` goes before everything, a failure before a hold, a hold
+    before what was found automatically; null in any of them is no."""
+    no = F.lit(False)
+    decision = F.when(human == "reject", "reject").when(human == "keep", "keep").when(F.coalesce(failed, no), "failed").when(F.coalesce(held, no), "held").otherwise("automatic")
+    curated = F.when(human == "reject", False).when(human == "keep", True).when(F.coalesce(failed, no) | F.coalesce(held, no), False).otherwise(F.coalesce(automatic, no))
+    return decision, curated

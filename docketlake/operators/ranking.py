@@ -32,6 +32,45 @@ def with_place(df: DataFrame, order: Sequence[Column], name: str = "place") -> D
     return spread.withColumn("_row", F.row_number().over(w)).join(F.broadcast(before), "_part").withColumn(name, F.col("_row") + F.col("_before")).drop("_part", "_in", "_row", "_before")
 
 
+def place_within(df: DataFrame, group: Sequence[str], order: Sequence[Column], name: str = "place") -> DataFrame:
+    """Adds the place of each row within its group, for groups that are few and long.
+
+    A window would sort each group in one task; here the groups lie one after the
+    other in a global order, and the places before a group are taken off.
+    """
+    placed = with_place(df, [*(F.col(g) for g in group), *order], "_place")
+    names = [f"_g{i}" for i in range(len(group))]
+    first = placed.groupBy(*(F.col(g).alias(n) for g, n in zip(group, names))).agg((F.min("_place") - 1).alias("_before"))
+    same = F.lit(True)
+    for g, n in zip(group, names):
+        same = same & F.col(g).eqNullSafe(F.col(n))
+    from docketlake.session import broadcast_if_small
+
+    return placed.join(broadcast_if_small(first), same).withColumn(name, F.col("_place") - F.col("_before")).drop("_place", "_before", *names)
+
+
+def top_links(df: DataFrame, group: Sequence[str], score: str, position: str, top: int | None = None) -> DataFrame:
+    """Candidates of each group by score, ties in their own order; adds ``rank`` and ``original_rank``, the place they had."""
+    own = df.withColumn("original_rank", F.row_number().over(Window.partitionBy(*group).orderBy(position)))
+    ranked = own.withColumn("rank", F.row_number().over(Window.partitionBy(*group).orderBy(F.col(score).desc(), position)))
+    return ranked if top is None else ranked.where(F.col("rank") <= top)
+
+
+def reach_around(lines: DataFrame, document: str, number: str, line: str, hits: DataFrame, most: int) -> DataFrame:
+    """``(document, hit, number)``: lines on either side of a hit whose non-blank text adds up to ``most`` characters, the nearest always.
+
+    ``hits`` (document, hit).  The text before a line is a prefix sum, so reach is
+    a difference of two sums; the join is bounded by the lines that ``most`` characters may span.
+    """
+    w = Window.partitionBy(document).orderBy(number).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    summed = lines.select(document, number, F.length(F.trim(line)).alias("_n")).where("_n > 0").withColumn("_upto", F.sum("_n").over(w)).withColumn("_order", F.row_number().over(Window.partitionBy(document).orderBy(number)))
+    at = hits.join(summed, (hits[document] == summed[document]) & (hits["hit"] == summed[number])).select(hits[document], "hit", F.col("_upto").alias("_at"), F.col("_n").alias("_own"), F.col("_order").alias("_mid"))
+    near = summed.join(at, document).where(F.col(number) != F.col("hit"))
+    after = (F.col(number) > F.col("hit")) & ((F.col("_upto") - F.col("_at") <= most) | (F.col("_order") == F.col("_mid") + 1))
+    before = (F.col(number) < F.col("hit")) & ((F.col("_at") - F.col("_own") - F.col("_upto") + F.col("_n") <= most) | (F.col("_order") == F.col("_mid") - 1))
+    return near.where(after | before).select(document, "hit", number)
+
+
 def capped_top(df: DataFrame, group: Sequence[str], host: str, order: Sequence[Column], cap: int, top: int) -> DataFrame:
     """The best ``top`` rows of each group with at most ``cap`` of one host.
 

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from docketlake.functions.measures import exact, ratio, wilson
+from docketlake.session import broadcast_if_small
 
 #: Confidence levels from low to high.
 LEVELS = ("none", "low", "medium", "high")
@@ -114,22 +117,38 @@ def metrics(pairs: DataFrame, label: str, column: str, x: str, base: str) -> Dat
     )
 
 
-def pair_agreement(answers: DataFrame, keys: Sequence[str], label: str, value: str, labels: Sequence[str]) -> DataFrame:
-    """``(a, b, common, equal, agreement, jaccard)`` of all pairs of sources.
+def pair_agreement(answers: DataFrame, keys: Sequence[str], label: str, value: str) -> DataFrame:
+    """``(a, b, common, equal, agreement, jaccard)`` of all pairs of sources that share an item.
 
-    The sources are few and given; items are turned to one row with a column per
-    source and all pairs are counted in one pass, so no pair rows are made.
+    Items are short rows, one answer per source; a task counts the pairs of its
+    items by matrix products and sends on one row per pair, so no pair rows are
+    made per item and the number of sources is not bounded.
     """
-    wide = answers.groupBy(*keys).agg(*(F.max(F.when(F.col(label) == x, F.col(value))).alias(f"s{i}") for i, x in enumerate(labels)))
-    counts, names = [], []
-    for i in range(len(labels)):
-        for j in range(i + 1, len(labels)):
-            a, b = F.col(f"s{i}"), F.col(f"s{j}")
-            counts += [F.count_if(a.isNotNull() & b.isNotNull()).alias(f"c{i}_{j}"), F.count_if(a == b).alias(f"e{i}_{j}"), F.count_if(a.isNotNull() | b.isNotNull()).alias(f"u{i}_{j}")]
-            names.append((i, j))
-    one = wide.agg(*counts)
-    rows = F.explode(F.array(*(F.struct(F.lit(labels[i]).alias("a"), F.lit(labels[j]).alias("b"), F.col(f"c{i}_{j}").alias("common"), F.col(f"e{i}_{j}").alias("equal"), F.col(f"u{i}_{j}").alias("either")) for i, j in names)))
-    return one.select(rows.alias("r")).select("r.*").where("common > 0").select("a", "b", "common", "equal", ratio(F.col("equal"), F.col("common")).alias("agreement"), ratio(F.col("common"), F.col("either")).alias("jaccard"))
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists = batch.column(0)
+            flat = lists.flatten()
+            item = np.repeat(np.arange(len(lists)), np.diff(np.asarray(lists.offsets)))
+            names, values = flat.field(0).dictionary_encode(), flat.field(1).dictionary_encode()
+            who, said, n = np.asarray(names.indices), np.asarray(values.indices), len(names.dictionary)
+            given = np.zeros((len(lists), n), np.float32)
+            given[item, who] = 1
+            common = given.T @ given
+            equal = np.zeros_like(common)
+            for v in range(len(values.dictionary)):
+                same = np.zeros_like(given)
+                same[item[said == v], who[said == v]] = 1
+                equal += same.T @ same
+            i, j = np.nonzero(np.triu(common, 1))
+            a, b = names.dictionary.take(pa.array(i)), names.dictionary.take(pa.array(j))
+            yield pa.RecordBatch.from_arrays([a, b, pa.array(common[i, j].astype(np.int64)), pa.array(equal[i, j].astype(np.int64))], names=["x", "y", "common", "equal"])
+
+    items = answers.groupBy(*keys).agg(F.collect_list(F.struct(F.col(label).alias("label"), F.col(value).cast("string").alias("value"))).alias("_l")).where(F.size("_l") > 1).select("_l")
+    pairs = items.mapInArrow(count, "x string, y string, common bigint, equal bigint").groupBy(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).agg(F.sum("common").alias("common"), F.sum("equal").alias("equal"))
+    n = answers.groupBy(F.col(label).alias("_s")).agg(F.count("*").alias("_n"))
+    both = pairs.join(broadcast_if_small(n.select(F.col("_s").alias("a"), F.col("_n").alias("_na"))), "a").join(broadcast_if_small(n.select(F.col("_s").alias("b"), F.col("_n").alias("_nb"))), "b")
+    return both.select("a", "b", "common", "equal", ratio(F.col("equal"), F.col("common")).alias("agreement"), ratio(F.col("common"), F.col("_na") + F.col("_nb") - F.col("common")).alias("jaccard"))
 
 
 def unit_metrics(pairs: DataFrame, label: str, unit: str, x: str, base: str) -> DataFrame:
@@ -146,3 +165,18 @@ def completeness(fields: Sequence[Column], context: Sequence[Column], items: Col
     full = lambda c: (F.coalesce(F.trim(c.cast("string")), F.lit("")) != "").cast("int")
     own = sum((full(c) for c in context), F.lit(0)) / max(len(context), 1)
     return exact(F.least(F.lit(1.0), 0.3 + 0.2 * own + 0.5 * items), 4)
+
+
+def judged_support(rows: DataFrame, item: Sequence[str], position: str, group: str, support: str, quoted: str) -> DataFrame:
+    """A judge's verdicts under the rules that follow it: ``(item, position, support, group_no)``.
+
+    An item none of whose candidates has a quote is unclear throughout; a group
+    whose candidates are judged differently is unclear; groups are numbered from
+    0 in the order of their first candidate.
+    """
+    of_item, of_group = Window.partitionBy(*item), Window.partitionBy(*item, group)
+    kinds = F.size(F.collect_set(support).over(of_group))
+    marked = rows.withColumns({"_any": F.bool_or(quoted).over(of_item), "_kinds": kinds, "_first": F.min(position).over(of_group)})
+    numbered = marked.withColumn("group_no", F.dense_rank().over(of_item.orderBy("_first")) - 1)
+    settled = F.when(~F.col("_any") | (F.col("_kinds") > 1), "unclear").otherwise(F.col(support))
+    return numbered.select(*item, position, settled.alias("support"), "group_no")

@@ -88,12 +88,14 @@ def flt_keyword_classifier(t: Tables) -> DataFrame:
 
 
 @R.add("""
-select artifact_id, case when status = 'failed' then 'reject' when status is null then 'held' when batch_no = 0 then 'selected' else 'automatic' end as decision,
-  case when status = 'failed' then false when status is null then false when batch_no = 0 then true else mime_type = 'application/pdf' end as curated from digger_artifacts""")
+with a as (select artifact_id, case when source = 'roster_url' and status = 'empty' then 'reject' when source = 'roster_url' then 'keep' end as human, status = 'failed' as failed, status is null as held, mime_type = 'application/pdf' as automatic from digger_artifacts)
+select artifact_id, case when human is not null then human when failed then 'failed' when held then 'held' else 'automatic' end as decision, case when human is not null then human = 'keep' when failed or held then false else coalesce(automatic, false) end as curated from a""")
 def flt_human_override(t: Tables) -> DataFrame:
-    """FLT14, FLT15: a person's decision before the automatic one; held ones wait."""
-    decision = F.when(F.col("status") == "failed", "reject").when(F.col("status").isNull(), "held").when(F.col("batch_no") == 0, "selected").otherwise("automatic")
-    curated = F.when(F.col("status") == "failed", False).when(F.col("status").isNull(), False).when(F.col("batch_no") == 0, True).otherwise(F.col("mime_type") == "application/pdf")
+    """FLT14, FLT15: a person's decision before the automatic one; held ones wait (addresses of the roster stand in for people's decisions)."""
+    from docketlake.operators.policy import curation
+
+    human = F.when((F.col("source") == "roster_url") & (F.col("status") == "empty"), "reject").when(F.col("source") == "roster_url", "keep")
+    decision, curated = curation(human, F.col("status") == "failed", F.col("status").isNull(), F.col("mime_type") == "application/pdf")
     return t.digger_artifacts.select("artifact_id", decision.alias("decision"), curated.alias("curated"))
 
 

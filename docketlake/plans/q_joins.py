@@ -294,11 +294,22 @@ with k as (select a.artifact_id, a.target_id, split_part(a.url, '#', 1) as u, lo
 m as (select *, min(artifact_id) over (partition by target_id, u) as a, min(artifact_id) over (partition by target_id, d) as b from k)
 select artifact_id, target_id from m where a = artifact_id and b = artifact_id""")
 def agg_two_key(t: Tables) -> DataFrame:
-    """AGG24, AGG33: sources per target whose address and bytes are both new."""
+    """AGG33: sources per target whose address and bytes are both new."""
     k = t.digger_artifacts.where("target_id is not null").select("artifact_id", "target_id", F.substring_index("url", "#", 1).alias("u")).join(t.captured_sources.where("size > 0").select("artifact_id", F.lower(F.regexp_extract("sha256", "([0-9A-Fa-f]{64})", 1)).alias("d")), "artifact_id")
     return dedup.two_key_survivors(k, ["target_id"], "u", "d", "artifact_id").select("artifact_id", "target_id")
 
 
+@R.add("""
+with k as (select a.artifact_id, a.target_id, url_decode(a.url) as u, lower(regexp_extract(s.sha256, '([0-9A-Fa-f]{64})', 1)) as d from digger_artifacts a join captured_sources s using (artifact_id) where a.status = 'captured' and coalesce(a.source, '') <> 'roster_url' and a.target_id is not null),
+m as (select *, u is null or min(artifact_id) over (partition by target_id, u) = artifact_id as a, nullif(d, '') is null or min(artifact_id) over (partition by target_id, d) = artifact_id as b from k)
+select target_id, count(*) as accepted from m where a and b group by target_id""")
+def agg_accepted_sources(t: Tables) -> DataFrame:
+    """AGG24: accepted sources of each target that nobody configured, mirrors by address or bytes counted once."""
+    a = t.digger_artifacts.where("status = 'captured' and coalesce(source, '') != 'roster_url' and target_id is not null").select("artifact_id", "target_id", urls.decoded(F.col("url")).alias("u"))
+    k = a.join(t.captured_sources.select("artifact_id", F.nullif(F.lower(F.regexp_extract("sha256", "([0-9A-Fa-f]{64})", 1)), F.lit("")).alias("d")), "artifact_id")
+    return dedup.two_key_survivors(k, ["target_id"], "u", "d", "artifact_id").groupBy("target_id").agg(F.count("*").alias("accepted"))
+
+
 @R.add("""
 select url, target_id, min(k) as kind from (select unnest(urls) as url, target_id, 'configured' as k from targets union all select url, target_id, 'search' from digger_artifacts where source = 'search' and target_id is not null) where url is not null group by url, target_id""")
 def set_union_configured(t: Tables) -> DataFrame:
@@ -355,7 +366,7 @@ def snk_merge_index(t: Tables) -> DataFrame:
 
 @R.add("select o.target, count(*) as orphans from observations o anti join (select distinct record_id from extraction_results where status <> 'partial') r using (record_id) group by o.target")
 def snk_orphans(t: Tables) -> DataFrame:
-    """SNK14, AGG38: rows that nothing refers to any more."""
+    """SNK14: rows that nothing refers to any more."""
     kept = t.extraction_results.where("status != 'partial'").select("record_id").distinct()
     return t.observations.join(kept, "record_id", "left_anti").groupBy("target").agg(F.count("*").alias("orphans"))
 

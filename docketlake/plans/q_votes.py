@@ -105,8 +105,7 @@ n as (select label, count(*) as n from answers group by label)
 select w.a, w.b, common, equal, {_ratio('equal', 'common')} as agreement, {_ratio('common', '(x.n + y.n - common)')} as jaccard from w join n x on x.label = w.a join n y on y.label = w.b""")
 def agg_pair_agreement(t: Tables) -> DataFrame:
     """AGG15: agreement and overlap of all pairs of sources, in one pass over the items."""
-    labels = sorted(r[0] for r in t.sources.select("label").distinct().limit(500).collect())
-    return votes.pair_agreement(answers(t), ["cluster_id", "field"], "label", "answer", labels)
+    return votes.pair_agreement(answers(t), ["cluster_id", "field"], "label", "answer")
 
 
 @R.add(f"""
@@ -224,7 +223,6 @@ a as (select source, avg(n_chars) as mean from s where rn <= 5 group by source),
 select source, n, cast(round(cast(mean * n / 4.0 / 1000000 * 2.5 as decimal(38,12)), 6) as double) as dollars from a join c using (source)""")
 def agg_cost_estimate(t: Tables) -> DataFrame:
     """AGG34, MTH6: cost of each source from the mean of its first five documents."""
-    from docketlake.operators.joins import first_of  # noqa: F401
     from pyspark.sql import Window
 
     d = t.documents.where("source is not null")

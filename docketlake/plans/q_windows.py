@@ -4,8 +4,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from docketlake.functions import measures, urls
-from docketlake.operators import ranking
-from docketlake.plans.common import PAIRS_SQL, against_reference
+from docketlake.operators import ranking, votes
+from docketlake.plans.common import CLAIMS_SQL, PAIRS_SQL, against_reference, claims
 from docketlake.plans.q_joins import _PAGES_SQL, scored_pages
 from docketlake.plans.registry import Registry, Tables
 
@@ -52,7 +52,7 @@ with s as (select artifact_id, ({_FT})::double as f, case when ends_with({_HOST}
 k as (select *, {_DEC.format("least(1.0::double, 0.3::double * ln(1 + h) / ln(2.0::double))")} as k from s)
 select artifact_id, h as hits, k as keyword_score, {_DEC.format("least(1.0::double, greatest(0.0::double, 0.5::double + 0.35::double * f + 0.25::double * a + 0.25::double * k))")} as confidence from k""")
 def win_link_scores(t: Tables) -> DataFrame:
-    """MTH2, WIN4: scores of links by file type, authority and keywords."""
+    """MTH2: scores of links by file type, authority and keywords."""
     u = F.col("url")
     hits, score = measures.keyword_score(F.lower(u), ["permit", "guide", "document"])
     a = F.when(urls.in_domain(urls.host_of(u), ".example"), 0.3).otherwise(0.0)
@@ -61,17 +61,32 @@ def win_link_scores(t: Tables) -> DataFrame:
 
 
 @R.add("""
-select record_id, source_id, row_number() over (partition by model order by completeness_score desc nulls last, unverified_quotes, record_id) as rank from (select distinct record_id, source_id, model, completeness_score, unverified_quotes from extraction_results)""")
+with d as (select distinct record_id, source_id, completeness_score, unverified_quotes from extraction_results),
+j as (select d.record_id, a.target_id, a.url, s.original as path, completeness_score from d join captured_sources s using (source_id) join digger_artifacts a using (artifact_id) where a.target_id is not null),
+r as (select *, row_number() over (partition by target_id order by completeness_score desc nulls last, url nulls first, path nulls first, record_id) as rank from j)
+select record_id, target_id, rank, rank = 1 as is_primary from r""")
 def win_review_rank(t: Tables) -> DataFrame:
-    """WIN5: records in the order of review, per model."""
-    d = t.extraction_results.select("record_id", "source_id", "model", "completeness_score", "unverified_quotes").distinct()
-    w = Window.partitionBy("model").orderBy(F.col("completeness_score").desc_nulls_last(), "unverified_quotes", "record_id")
-    return d.select("record_id", "source_id", F.row_number().over(w).alias("rank"))
+    """WIN5: the records of each target in the order of review: relevance, address, path; the first is the primary one."""
+    d = t.extraction_results.select("record_id", "source_id", "completeness_score", "unverified_quotes").distinct()
+    j = d.join(t.captured_sources.select("source_id", "artifact_id", F.col("original").alias("path")), "source_id").join(t.digger_artifacts.where("target_id is not null").select("artifact_id", "target_id", "url"), "artifact_id")
+    w = Window.partitionBy("target_id").orderBy(F.col("completeness_score").desc_nulls_last(), "url", "path", "record_id")
+    return j.withColumn("rank", F.row_number().over(w)).select("record_id", "target_id", "rank", (F.col("rank") == 1).alias("is_primary"))
+
+
+@R.add(f"""
+with s as (select artifact_id, target_id, ({_FT})::double as f, case when ends_with({_HOST}, '.example') then 0.3::double else 0.0::double end as a, (contains(lower(url), 'permit')::int + contains(lower(url), 'guide')::int + contains(lower(url), 'document')::int) as h from digger_artifacts where url is not null and target_id is not null),
+k as (select *, {_DEC.format("least(1.0::double, 0.3::double * ln(1 + h) / ln(2.0::double))")} as k from s), c as (select artifact_id, target_id, {_DEC.format("least(1.0::double, greatest(0.0::double, 0.5::double + 0.35::double * f + 0.25::double * a + 0.25::double * k))")} as confidence from k),
+r as (select *, row_number() over (partition by target_id order by artifact_id) as original_rank, row_number() over (partition by target_id order by confidence desc, artifact_id) as rank from c)
+select target_id, artifact_id, rank, original_rank from r where rank <= 5""")
+def win_link_top(t: Tables) -> DataFrame:
+    """WIN4: the five best links of each target, ties in their own order, with the place they had."""
+    scores = win_link_scores(t).join(t.digger_artifacts.where("target_id is not null").select("artifact_id", "target_id"), "artifact_id")
+    return ranking.top_links(scores, ["target_id"], "confidence", "artifact_id", 5).select("target_id", "artifact_id", "rank", "original_rank")
 
 
 @R.add()
 def win_set_cover(t: Tables) -> DataFrame:
-    """WIN6: artifacts chosen one by one for the most new fields they tell of (greedy, so no SQL; tested by brute force)."""
+    """WIN6: artifacts chosen one by one for the most new fields they tell of (greedy, so no SQL; tested against a plain walk)."""
     d = t.observations.select("target", "obs_id", F.from_json("data", "struct<url:string,item:map<string,string>>").alias("d"))
     rows = d.select("target", "obs_id", F.map_keys(F.map_filter("d.item", lambda k, v: v.isNotNull() & (v != ""))).alias("labels"), F.coalesce(urls.host_of(F.col("d.url")), F.lit("")).alias("host"), F.lit(1.0).alias("relevance"))
     return ranking.set_cover(rows, "target", "labels", "relevance", "host", "obs_id", 3, 2)
@@ -100,7 +115,7 @@ def win_budget(t: Tables) -> DataFrame:
 
 @R.add()
 def win_batches(t: Tables) -> DataFrame:
-    """WIN10, WIN11: documents of each source packed by number and size (sequential, so no SQL; tested by brute force)."""
+    """WIN10: documents of each source packed by number and size (sequential, so no SQL; tested by brute force)."""
     d = t.documents.where("source is not null and n_chars is not null").select("doc_id", "source", "n_chars")
     return ranking.packed(d, "source", "n_chars", "doc_id", 40, 48_000)
 
@@ -134,12 +149,12 @@ _PRIORITY = "case when x is null and base is null then 'none' when base is not n
 
 @R.add(f"with {PAIRS_SQL}, p as (select label, field, cluster_id, {_PRIORITY} as priority from pairs) select label, field, cluster_id, priority, row_number() over (partition by label order by list_position(['high','medium','low','none'], priority), cluster_id, field) as place from p")
 def win_priority(t: Tables) -> DataFrame:
-    """WIN15, CAT1: cells in the order in which a person should look."""
+    """WIN15: cells in the order in which a person should look."""
     x, base = F.col("x"), F.col("base")
     priority = F.when(x.isNull() & base.isNull(), "none").when(base.isNotNull() & (x != base), "high").when(x.isNull() | base.isNull(), "medium").otherwise("low")
     p = against_reference(t).select("label", "field", "cluster_id", priority.alias("priority"))
     order = F.array_position(F.array(*(F.lit(v) for v in ("high", "medium", "low", "none"))), F.col("priority"))
-    return p.withColumn("place", F.row_number().over(Window.partitionBy("label").orderBy(order, "cluster_id", "field")))
+    return ranking.place_within(p, ["label"], [order, F.col("cluster_id"), F.col("field")])
 
 
 @R.add(f"""
@@ -193,17 +208,31 @@ with m as (select distinct record_id, source_id, model, unnest(validation_notes)
 def srt_errors(t: Tables) -> DataFrame:
     """SRT3: notes in one order."""
     m = t.extraction_results.select("record_id", "source_id", "model", F.explode("validation_notes").alias("note")).where("note is not null").distinct()
-    return m.select("record_id", "model", "note", F.row_number().over(Window.partitionBy("model").orderBy("source_id", "note", "record_id")).alias("place"))
+    return ranking.place_within(m, ["model"], [F.col("source_id"), F.col("note"), F.col("record_id")]).select("record_id", "model", "note", "place")
 
 
-@R.add("""
-select g.obs_id, count(distinct g.support) as kinds, case when count(distinct g.support) > 1 then 'unclear' else min(g.support) end as verdict from (select obs_id, case when data->>'scope' = 'target' then 'supported' else 'unsupported' end as support from observations union all select min(obs_id), case when data->>'scope' = 'target' then 'supported' else 'unsupported' end from observations group by target, data->>'scope') g group by g.obs_id""")
+@R.add(f"""
+with {CLAIMS_SQL}, q as (select target, field, obs_id, value_key, quote is not null as quoted, case when quote is not null and contains(lower(quote), lower(value)) then 'supported' else 'unsupported' end as support from claims),
+g as (select *, bool_or(quoted) over (partition by target, field) as any_, min(obs_id) over (partition by target, field, value_key) as first from q), k as (select target, field, value_key, count(distinct support) as kinds from q group by all)
+select target, field, obs_id, case when not any_ or kinds > 1 then 'unclear' else support end as support, dense_rank() over (partition by target, field order by first) - 1 as group_no from g join k using (target, field, value_key)""")
 def agg_judge_rules(t: Tables) -> DataFrame:
-    """AGG37, UDF5: verdicts of one group that differ are unclear."""
-    o = t.observations.select("obs_id", "target", F.when(F.get_json_object("data", "$.scope") == "target", "supported").otherwise("unsupported").alias("support"))
-    both = o.select("obs_id", "support").union(o.groupBy("target", "support").agg(F.min("obs_id").alias("obs_id")).select("obs_id", "support"))
-    kinds = F.count_distinct("support")
-    return both.groupBy("obs_id").agg(kinds.alias("kinds"), F.when(kinds > 1, "unclear").otherwise(F.min("support")).alias("verdict"))
+    """AGG37: verdicts settled by the rules: unclear without a quote or where a group differs; groups numbered by first
+    appearance. Candidates are the values of a target's field; one is supported if its quote holds it."""
+    held = F.col("quote").isNotNull() & F.contains(F.lower("quote"), F.lower("value"))
+    c = claims(t).select("target", "field", "obs_id", "value_key", F.col("quote").isNotNull().alias("quoted"), F.when(held, "supported").otherwise("unsupported").alias("support"))
+    return votes.judged_support(c, ["target", "field"], "obs_id", "value_key", "support", "quoted")
+
+
+@R.add("""
+with l as (select doc_id, unnest(string_split(text, chr(10))) as line, generate_subscripts(string_split(text, chr(10)), 1) as no from documents where text is not null),
+s as (select doc_id, no, line, length(trim(line)) as n, sum(length(trim(line))) over (partition by doc_id order by no) as upto, row_number() over (partition by doc_id order by no) as k from l where length(trim(line)) > 0),
+h as (select doc_id, no as hit, upto as at, n as own, k as mid from s where contains(lower(line), 'setback'))
+select s.doc_id, h.hit, count(*) as reached, min(s.no) as first, max(s.no) as last from s join h using (doc_id) where s.no <> h.hit and ((s.no > h.hit and (s.upto - h.at <= 400 or s.k = h.mid + 1)) or (s.no < h.hit and (h.at - h.own - s.upto + s.n <= 400 or s.k = h.mid - 1))) group by 1, 2""")
+def win_context_around(t: Tables) -> DataFrame:
+    """WIN12: lines around each line that names a setback, within 400 characters on either side."""
+    lines = t.documents.where("text is not null").select("doc_id", F.posexplode(F.split("text", "\n")).alias("no", "line")).withColumn("no", F.col("no") + 1)
+    hits = lines.where(F.lower("line").contains("setback")).select("doc_id", F.col("no").alias("hit"))
+    return ranking.reach_around(lines, "doc_id", "no", "line", hits, 400).groupBy("doc_id", "hit").agg(F.count("*").alias("reached"), F.min("no").alias("first"), F.max("no").alias("last"))
 
 
 @R.add("""

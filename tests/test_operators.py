@@ -190,6 +190,75 @@ def test_set_cover(spark):
     assert got == [("t", 2, 1), ("t", 3, 2), ("t", 4, 3), ("u", 5, 1)]
 
 
+def test_set_cover_against_a_plain_walk(spark):
+    """A thousand made groups: each pick has the most new labels, then relevance, then the smaller id, hosts capped."""
+    rng = random.Random(41)
+    data, want = [], []
+    for g in range(1000):
+        left = []
+        for i in range(rng.randint(1, 9)):
+            row = (f"g{g}", 100 * g + i, sorted(rng.sample("abcde", rng.randint(0, 3))), rng.choice("hk"), rng.choice([0.1, 0.5]))
+            data.append(row)
+            left.append(row)
+        covered, used = set(), {}
+        for pick in range(1, 4):
+            able = [r for r in left if used.get(r[3], 0) < 2]
+            if not able:
+                break
+            best = sorted(able, key=lambda r: (-len(set(r[2]) - covered), -r[4], r[1]))[0]
+            left.remove(best)
+            covered |= set(best[2])
+            used[best[3]] = used.get(best[3], 0) + 1
+            want.append((f"g{g}", best[1], pick))
+    df = spark.createDataFrame(data, "g string, id int, l array<string>, h string, r double")
+    assert rows(ranking.set_cover(df, "g", "l", "r", "h", "id", 3, 2).select("g", "id", "pick")) == sorted(want)
+
+
+def test_place_within(spark):
+    df = spark.createDataFrame([("b", 2), ("a", 5), (None, 1), ("a", 3), ("b", 9), (None, 0)], "g string, x int")
+    assert sorted((str(r["g"]), r["x"], r["place"]) for r in ranking.place_within(df, ["g"], [F.col("x")]).collect()) == [("None", 0, 1), ("None", 1, 2), ("a", 3, 1), ("a", 5, 2), ("b", 2, 1), ("b", 9, 2)]
+
+
+def test_pair_agreement_against_a_count(spark):
+    from docketlake.operators import votes
+
+    rng = random.Random(42)
+    data = [(i, f"s{s}", rng.choice("xyz")) for i in range(200) for s in range(12) if rng.random() < 0.5]
+    df = spark.createDataFrame(data, "item int, s string, v string")
+    by = {(i, s): v for i, s, v in data}
+    got = {(r["a"], r["b"]): (r["common"], r["equal"]) for r in votes.pair_agreement(df.repartition(5), ["item"], "s", "v").collect()}
+    for a in range(12):
+        for b in range(12):
+            x, y = f"s{a}", f"s{b}"
+            if x < y:
+                both = [i for i in range(200) if (i, x) in by and (i, y) in by]
+                assert got[x, y] == (len(both), sum(by[i, x] == by[i, y] for i in both))
+    assert votes.pair_agreement(df.limit(0), ["item"], "s", "v").count() == 0
+
+
+def test_reach_around(spark):
+    lines = [(1, n, t) for n, t in enumerate(["x" * 30, "", "y" * 300, "hit", "z" * 50, " ", "w" * 10, "v" * 90], 1)]
+    df = spark.createDataFrame(lines, "d int, n int, t string")
+    hits = spark.createDataFrame([(1, 4)], "d int, hit int")
+    assert [r[2] for r in rows(ranking.reach_around(df, "d", "n", "t", hits, 100))] == [3, 5, 7]
+
+
+def test_curation(spark):
+    from docketlake.operators.policy import curation
+
+    cases = [("reject", False, False, True, "reject", False), ("keep", True, True, False, "keep", True), (None, True, True, True, "failed", False), (None, False, True, True, "held", False), (None, None, None, True, "automatic", True), (None, None, None, None, "automatic", False)]
+    df = spark.createDataFrame([c[:4] for c in cases], "h string, f boolean, w boolean, a boolean")
+    assert [tuple(r) for r in df.select(*curation(F.col("h"), F.col("f"), F.col("w"), F.col("a"))).collect()] == [c[4:] for c in cases]
+
+
+def test_judged_support(spark):
+    from docketlake.operators import votes
+
+    data = [("i", 1, "b", "supported", True), ("i", 2, "a", "supported", False), ("i", 3, "a", "unsupported", False), ("j", 1, "x", "supported", False)]
+    got = rows(votes.judged_support(spark.createDataFrame(data, "item string, pos int, g string, s string, q boolean"), ["item"], "pos", "g", "s", "q"))
+    assert got == [("i", 1, "supported", 0), ("i", 2, "unclear", 1), ("i", 3, "unclear", 1), ("j", 1, "unclear", 0)]
+
+
 def test_with_place(spark):
     df = spark.createDataFrame([(i,) for i in (5, 3, 9, 1)], "x int")
     assert rows(ranking.with_place(df, [F.col("x")])) == [(1, 1), (3, 2), (5, 3), (9, 4)]
@@ -209,9 +278,9 @@ def test_all_empty_files_block_their_folders(spark, tmp_path):
     folders = {o.rsplit("/", 1)[0] for _, o, _ in data if o}
     blocked = {o.rsplit("/", 1)[0] for _, o, n in data if o and n == 0}
     lies = lambda a, b: f"{a}/".startswith(f"{b}/")
-    assert rows(R.queries["jn_path_overlap_whole"](spark, str(tmp_path))) == sorted((f,) for f in folders if any(lies(f, b) or lies(b, f) for b in blocked))
+    assert rows(R.queries["jn_path_overlap"](spark, str(tmp_path))) == sorted((f,) for f in folders if any(lies(f, b) or lies(b, f) for b in blocked))
     both = folders | {b.split("/")[0] for b in blocked}
-    assert rows(R.queries["set_minimal_paths_whole"](spark, str(tmp_path))) == sorted((f,) for f in both if not any(f != o and lies(f, o) for o in both))
+    assert rows(R.queries["set_minimal_paths"](spark, str(tmp_path))) == sorted((f,) for f in both if not any(f != o and lies(f, o) for o in both))
 
 
 def test_crawl_follows_all_links(spark, tmp_path):
@@ -226,7 +295,7 @@ def test_crawl_follows_all_links(spark, tmp_path):
         edge = {b for a, b in links if a in edge} - set(want)
         want |= dict.fromkeys(edge, depth)
     assert {"p301", "p9000"} <= set(want)
-    assert dict(rows(R.queries["src_crawl_whole"](spark, str(tmp_path)))) == want
+    assert dict(rows(R.queries["src_crawl"](spark, str(tmp_path)))) == want
 
 
 SCHEMA = '{"properties": {"s": {"type": "string"}, "rows": {"type": "array", "items": {"properties": {"k": {"type": "string", "title": "Key"}, "n": {"type": ["integer", "null"]}, "e": {"$ref": "#/$defs/e"}, "parts": {"type": "array", "items": {"properties": {"p": {"type": "string"}}}}}}}}, "$defs": {"e": {"type": "object", "properties": {"value": {"type": "string"}, "quote": {"type": "string"}}}}, "$metadata": {"identity": {"keys": ["k"]}}}'
