@@ -203,3 +203,50 @@ def head_and_tail(text: Column, most: int) -> Column:
     """A review sample: the whole of a short text, else its head and tail around a mark, within ``most`` characters."""
     half = (most - 5) // 2
     return F.when(F.length(text) <= most, text).otherwise(F.concat(F.substring(text, 1, half), F.lit("\n...\n"), F.right(text, F.lit(half))))
+
+
+#: What parts the windows of a review sample.
+SAMPLE_BREAK = "\n...\n"
+
+
+def sample_windows(text: str, most: int, keywords: Sequence[str] = ()) -> list[str]:
+    """Windows of a long text within ``most`` characters in all, with SAMPLE_BREAK between them; a short text is one.
+
+    A fifth each goes to the head, the tail and windows that begin shortly before
+    keywords, the rest to four windows spread over the body; without a keyword
+    found the body has that share too.
+    """
+    if len(text) <= most:
+        return [text]
+    share = (most - 6 * len(SAMPLE_BREAK)) // 5
+    if share <= 0:
+        return [text[:most]]
+    first, last = share, len(text) - share
+    found: list[tuple[int, str]] = []
+    if keywords:
+        size = max(1, share // max(len(keywords), 2))
+        low = text.lower()
+        for word in keywords:
+            at = low.find(word.lower(), first)
+            while 0 <= at < last and (len(found) + 1) * size <= max(share, size):
+                if all(abs(at - other) >= size for other, _ in found):
+                    lo = max(first, at - size // 4)
+                    found.append((at, text[lo : lo + size]))
+                at = low.find(word.lower(), at + size)
+    room = share * 2 if found else share * 3
+    if last - first <= room:
+        body = [text[first:last]]
+    else:
+        size = room // 4
+        gap = (last - first - size) // 3
+        body = [text[first + i * gap : first + i * gap + size] for i in range(4)]
+    return [w for w in (text[:first], *(w for _, w in found), *body, text[last:]) if w.strip()]
+
+
+def review_sample(text: Column, most: int, keywords: Sequence[str] = ()) -> Column:
+    """``sample_windows`` joined by SAMPLE_BREAK, as a column."""
+
+    def run(texts: pd.Series) -> pd.Series:
+        return texts.map(lambda t: SAMPLE_BREAK.join(sample_windows(t, most, keywords)), na_action="ignore")
+
+    return F.pandas_udf(run, "string")(text)

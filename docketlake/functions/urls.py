@@ -98,3 +98,9 @@ def public_host(host: Column) -> Column:
     local = host.rlike(r"^(localhost|.*\.local|.*\.internal|.*\.localhost)$")
     private = host.rlike(r"^(0|10|127|169\.254|172\.(1[6-9]|2[0-9]|3[01])|192\.168|100\.(6[4-9]|[7-9][0-9]|1[01][0-9]|12[0-7])|22[4-9]|23[0-9]|24[0-9]|25[0-5])\.")
     return (host != "") & ~local & ~private
+
+
+def redacted_in_text(text: Column) -> Column:
+    """A text in which the addresses are redacted, fragments included; what stands around them stays."""
+    t = F.regexp_replace(text, rf"(?i)([?&](?:{'|'.join(SECRETS)})=)[^&#\s]*", "$1REDACTED")
+    return F.regexp_replace(t, r"(?i)(https?://)[^/?#@\s]*@", "$1REDACTED@")

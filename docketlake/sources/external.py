@@ -101,3 +101,12 @@ def chunk_starts(levels: list[float], step: int = 300, reach: int = 30) -> list[
         lo, hi = mark - reach, min(mark + reach + 1, len(levels))
         starts.append(min(range(lo, hi), key=lambda i: (levels[i], abs(i - mark))))
     return starts
+
+
+def cut_points_of(levels: object, step: int = 300, reach: int = 30) -> object:
+    """``chunk_starts`` of an array of levels, as a column; null for none."""
+
+    def run(lists: pd.Series) -> pd.Series:
+        return pd.Series([None if x is None else chunk_starts(list(x), step, reach) for x in lists])
+
+    return F.pandas_udf(run, "array<int>")(levels)
