@@ -132,10 +132,12 @@ def covered_documents(df: DataFrame, group: Sequence[str], labels: str, rank: st
     marked = sets.withColumn("_best", F.first("_id").over(w))
     equal = marked.where("_id != _best").select(F.col("_id").alias(id_col), F.col("_best").alias("by"))
     kinds = marked.where("_id = _best").select(*group, "_s", "_rank", "_id")
-    a = kinds.select(*group, F.explode("_s").alias("label"), F.col("_s").alias("small"), F.col("_id").alias(id_col), F.size("_s").alias("n"))
-    b = kinds.select(*group, F.explode("_s").alias("label"), F.col("_id").alias("by"), F.size("_s").alias("m"), F.col("_rank").alias("by_rank"))
-    shared = a.join(b, [*group, "label"]).where("n < m").groupBy(*group, id_col, "by", "n", "by_rank", "m").agg(F.count("*").alias("common"))
-    inside = shared.where("common = n").groupBy(id_col).agg(F.min_by("by", F.struct(-F.col("m"), "by_rank", "by")).alias("by"))
+    each = kinds.select(*group, F.explode("_s").alias("label"), F.col("_s").alias("large"), F.col("_id").alias("by"), F.size("_s").alias("m"), F.col("_rank").alias("by_rank"))
+    often = each.groupBy(*group, "label").agg(F.count("*").alias("_often"))
+    # a larger set has the rarest label of a smaller one too: only there they meet
+    rare = each.join(often, [*group, "label"]).groupBy(*group, F.col("by").alias(id_col)).agg(F.min_by("label", F.struct("_often", "label")).alias("label"), F.first("large").alias("small"))
+    met = rare.join(each, [*group, "label"]).where((F.size("small") < F.col("m")) & (F.size(F.array_except("small", "large")) == 0))
+    inside = met.groupBy(id_col).agg(F.min_by("by", F.struct(-F.col("m"), "by_rank", "by")).alias("by"))
     return equal.unionByName(inside)
 
 

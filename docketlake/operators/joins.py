@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from docketlake.session import broadcast_if_small
+from docketlake.session import broadcast_if_small, cut
 
 
 def lookup(items: DataFrame, roster: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -76,27 +76,34 @@ def dictionary_hits(texts: DataFrame, names: DataFrame, id_col: str, text_col: s
 
 
 def gram_pairs(df: DataFrame, id_col: str, grams: str, least: float, scope: Sequence[str] = ()) -> DataFrame:
-    """``(left_id, right_id, score)`` of rows whose gram sets overlap by at least ``least`` of the smaller set.
+    """``(left_id, right_id, score, kind)`` of rows whose gram sets overlap by at least ``least`` of the smaller set.
 
-    Prefix filter: grams are ordered from rare to common, and of a set of n only
-    the first n - ceil(least * n) + 1 are joined, which no overlapping pair can
-    miss; the whole sets are then compared.  Common grams thus make no bucket.
+    Rows with the same grams are one class: its smallest id stands for it, and the
+    others come out as ``copy`` of it.  Pairs of classes are ``near``.  Prefix filter:
+    grams are ordered from rare to common, and of a set of n only the first
+    n - ceil(least * n) + 1 are joined, which no overlapping pair can miss; the
+    whole sets are then compared.  Common grams thus make no bucket.
     """
-    base = df.where(F.size(grams) > 0).select(*scope, F.col(id_col).alias("_id"), F.col(grams).alias("_grams"))
-    each = base.select(*scope, "_id", F.explode("_grams").alias("gram"))
-    counts = each.groupBy(*scope, "gram").agg(F.count("*").alias("times"))
-    ordered = each.join(counts, [*scope, "gram"]).groupBy(*scope, "_id").agg(F.array_sort(F.collect_list(F.struct("times", "gram"))).alias("o"))
-    size = F.size("o")
-    prefix = F.slice("o", F.lit(1), (size - F.ceil(size * least) + 1).cast("int"))
-    sets = ordered.select(*scope, "_id", F.transform("o", lambda x: x["gram"]).alias("_set"))
-    # ids and sizes only meet on grams; the sets come back for the pairs that did
-    a = ordered.select(*scope, F.explode(F.transform(prefix, lambda x: x["gram"])).alias("gram"), F.col("_id").alias("_small"), size.alias("_n"))
-    b = ordered.select(*scope, F.explode(F.transform("o", lambda x: x["gram"])).alias("gram"), F.col("_id").alias("_large"), size.alias("_m"))
-    # containment is by the smaller set, so its prefix meets all grams of the larger one; of equal sets the smaller id leads
+    base = df.where(F.size(grams) > 0).select(*scope, F.col(id_col).alias("_id"), F.array_sort(F.array_distinct(grams)).alias("_set"))
+    rows = base.select(*scope, "_id", "_set", F.xxhash64("_set").alias("_h1"), F.xxhash64(F.lit(1), "_set").alias("_h2"))
+    sets = rows.groupBy(*scope, "_h1", "_h2").agg(F.min("_id").alias("_id"), F.first("_set").alias("_set"), F.count("*").alias("_rows"))
+    members = rows.select(*scope, "_h1", "_h2", F.col("_id").alias("_member")).join(sets.where("_rows > 1").select(*scope, "_h1", "_h2", "_id"), [*scope, "_h1", "_h2"]).where("_id != _member")
+    copies = members.select(*scope, F.col("_id").alias("left_id"), F.col("_member").alias("right_id"), F.lit(1.0).alias("score"), F.lit("copy").alias("kind"))
+    sets = cut(sets.select(*scope, "_id", "_set"))
+    each = sets.select(*scope, "_id", F.size("_set").alias("_n"), F.explode("_set").alias("gram"))
+    counts = each.groupBy(*scope, "gram").agg(F.count("*").alias("times")).where("times > 1")
+    # a gram that no other class has joins nothing, but takes its place in the prefix
+    ordered = each.join(counts, [*scope, "gram"]).groupBy(*scope, "_id", "_n").agg(F.array_sort(F.collect_list(F.struct("times", "gram"))).alias("o"))
+    own = F.col("_n") - F.size("o")
+    prefix = F.slice("o", F.lit(1), F.greatest(F.lit(0), (F.col("_n") - F.ceil(F.col("_n") * least) + 1 - own).cast("int")))
+    a = ordered.select(*scope, F.explode(F.transform(prefix, lambda x: x["gram"])).alias("gram"), F.col("_id").alias("_small"), "_n")
+    b = ordered.select(*scope, F.explode(F.transform("o", lambda x: x["gram"])).alias("gram"), F.col("_id").alias("_large"), F.col("_n").alias("_m"))
+    # containment is by the smaller set, so its prefix meets all grams of the larger one; of equal sizes the smaller id leads
     met = a.join(b, [*scope, "gram"]).where("_n < _m or (_n = _m and _small < _large)").groupBy(*scope, "_small", "_large").agg(F.lit(1).alias("_met"))
     pairs = met.join(sets.select(*scope, F.col("_id").alias("_small"), F.col("_set").alias("_a")), [*scope, "_small"]).join(sets.select(*scope, F.col("_id").alias("_large"), F.col("_set").alias("_b")), [*scope, "_large"])
     score = F.size(F.array_intersect("_a", "_b")) / F.size("_a")
-    return pairs.select(*scope, F.least("_small", "_large").alias("left_id"), F.greatest("_small", "_large").alias("right_id"), score.alias("score")).where(F.col("score") >= least)
+    near = pairs.select(*scope, F.least("_small", "_large").alias("left_id"), F.greatest("_small", "_large").alias("right_id"), score.alias("score")).where(F.col("score") >= least).withColumn("kind", F.lit("near"))
+    return near.unionByName(copies)
 
 
 def upsert(existing: DataFrame, fresh: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -161,8 +168,6 @@ def reachable(links: DataFrame, seeds: DataFrame, depth: int, cap: int | None =
     Breadth first with one join a level; each level keeps new pages only.  With
     ``cap`` the crawl keeps the first pages by (depth, page), a stated budget.
     """
-    from docketlake.session import cut
-
     found = seeds.select(F.col("page")).distinct().withColumn("depth", F.lit(0))
     edge = found
     for level in range(1, depth + 1):

@@ -57,12 +57,14 @@ def jn_clusters(t: Tables) -> DataFrame:
 
 @R.add("""
 with q as (select distinct target_id, md5(quote) as id, lower(trim(regexp_replace(quote, '\\s+', ' ', 'g'))) as t from cells where quote is not null and target_id is not null),
-g as (select distinct target_id, id, unnest(list_transform(range(1, length(t) - 2), lambda i: substr(t, i, 4))) as g from q where length(t) >= 12),
-n as (select target_id, id, count(*) as n from g group by all),
+s as (select target_id, id, list_sort(list_distinct(list_transform(range(1, length(t) - 2), lambda i: substr(t, i, 4)))) as s from q where length(t) >= 12),
+c as (select *, min(id) over (partition by target_id, s) as rep from s), r as (select * from c where id = rep), g as (select target_id, id, unnest(s) as g from r),
 p as (select a.target_id, a.id as left_id, b.id as right_id, count(*) as c from g a join g b on a.target_id = b.target_id and a.g = b.g and a.id < b.id group by all)
-select p.target_id, left_id, right_id, c::double / least(x.n, y.n) as score from p join n x on x.id = left_id and x.target_id = p.target_id join n y on y.id = right_id and y.target_id = p.target_id where c::double / least(x.n, y.n) >= 0.65""")
+select p.target_id, left_id, right_id, c::double / least(len(x.s), len(y.s)) as score, 'near' as kind from p join r x on x.id = left_id and x.target_id = p.target_id join r y on y.id = right_id and y.target_id = p.target_id where c::double / least(len(x.s), len(y.s)) >= 0.65
+union all select target_id, rep, id, 1.0, 'copy' from c where id <> rep""")
 def jn_gram_pairs(t: Tables) -> DataFrame:
-    """JN6, MTH5: different quotes of one target whose 4-grams overlap by 0.65 of the smaller set, through a prefix-filtered gram join."""
+    """JN6, MTH5: quotes of one target whose 4-grams overlap by 0.65 of the smaller set, through a prefix-filtered gram join;
+    quotes with the same grams are one class, given as its smallest member and the copies of that."""
     q = t.cells.where("quote is not null and target_id is not null").select("target_id", F.md5("quote").alias("item_id"), "quote").distinct()
     return joins.gram_pairs(q.select("target_id", "item_id", text.char_grams(F.col("quote")).alias("grams")), "item_id", "grams", 0.65, ["target_id"])
 
