@@ -106,7 +106,16 @@ def test_gram_pairs_against_all_pairs(spark):
     sets = {i: sorted({rng.choice("abcdefghij") for _ in range(rng.randint(1, 8))}) for i in range(25)}
     df = spark.createDataFrame(list(sets.items()), "id int, g array<string>")
     want = sorted((a, b) for a, b in itertools.combinations(sets, 2) if len(set(sets[a]) & set(sets[b])) / min(len(sets[a]), len(sets[b])) >= 0.65)
-    assert [(r[0], r[1]) for r in rows(joins.gram_pairs(df, "id", "g", 0.65).select("left_id", "right_id"))] == want
+    got = joins.gram_pairs(df, "id", "g", 0.65).collect()
+    copies = {r["right_id"]: r["left_id"] for r in got if r["kind"] == "copy"}
+    assert all(sets[a] == sets[b] and b < a for a, b in copies.items()) and len(copies) == len(sets) - len({tuple(s) for s in sets.values()})
+    # classes written out again give every pair, each once
+    members = {}
+    for i in sets:
+        members.setdefault(copies.get(i, i), []).append(i)
+    out = [tuple(sorted((a, b))) for r in got if r["kind"] == "near" for a in members[r["left_id"]] for b in members[r["right_id"]]]
+    out += [p for m in members.values() for p in itertools.combinations(sorted(m), 2)]
+    assert sorted(out) == want
 
 
 def test_dictionary_hits(spark):
