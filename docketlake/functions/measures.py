@@ -12,7 +12,7 @@ from docketlake.functions.text import literal_map
 #: Score of a link by its file type.
 FILE_TYPE_SCORES = {
     ".pdf": 0.40, ".docx": 0.35, ".doc": 0.30, ".xlsx": 0.25, ".xls": 0.20, ".csv": 0.15, ".txt": 0.10, ".html": -0.05, ".htm": -0.05,
-    ".jpg": -0.20, ".jpeg": -0.20, ".png": -0.20, ".gif": -0.20, ".mp4": -0.30, ".exe": -0.30, ".zip": -0.15,
+    ".jpg": -0.20, ".jpeg": -0.20, ".png": -0.20, ".gif": -0.20, ".mp4": -0.30, ".zip": -0.15, ".exe": -0.30,
 }
 #: First three letters of the months.
 MONTHS = ("jan", "feb", "mar", "apr", "may", "jun", "jul", "aug", "sep", "oct", "nov", "dec")

@@ -61,14 +61,34 @@ def wildcard_duplicates(df: DataFrame, required: Sequence[str], fuzzy: Sequence[
     tuples = rows.groupBy(*req, *fuz).agg(F.min(position).alias("_first"), F.count("*").alias("_n"), F.max_by(position, F.struct("_full", -F.col(position))).alias("_best"), F.max("_full").alias("_most"))
 
     def groups_of(tuples: list[tuple]) -> list[tuple]:
-        """Tuples (values, first, n, best, most) of one required key, in order, with the anchor each goes to."""
-        free, out = list(range(len(tuples))), []
-        while free:
-            anchor = tuples[free[0]]
-            taken = [i for i in free if all(a is None or b is None or a == b for a, b in zip(anchor[0], tuples[i][0]))]
-            out += [(anchor[1], *tuples[i][2:]) for i in taken]
-            gone = set(taken)
-            free = [i for i in free if i not in gone]
+        """Tuples (values, first, n, best, most) of one required key, in order, with the anchor each goes to.
+
+        Free tuples are listed by the value of each column; an anchor looks only at
+        those that equal it, or are null, in its rarest filled column.
+        """
+        listed: list[dict] = [{} for _ in fuz]
+        for i, t in enumerate(tuples):
+            for k, v in enumerate(t[0]):
+                listed[k].setdefault(v, []).append(i)
+        free, out = [True] * len(tuples), []
+
+        def still(k: int, v) -> list[int]:
+            left = listed[k][v] = [i for i in listed[k].get(v, ()) if free[i]]
+            return left
+
+        for i, anchor in enumerate(tuples):
+            if not free[i]:
+                continue
+            filled_in = [k for k, v in enumerate(anchor[0]) if v is not None]
+            if filled_in:
+                k = min(filled_in, key=lambda k: len(listed[k].get(anchor[0][k], ())) + len(listed[k].get(None, ())))
+                near = sorted([*still(k, anchor[0][k]), *still(k, None)])
+            else:
+                near = range(i, len(tuples))
+            taken = [j for j in near if free[j] and all(a is None or b is None or a == b for a, b in zip(anchor[0], tuples[j][0]))]
+            for j in taken:
+                free[j] = False
+            out += [(anchor[1], *tuples[j][2:]) for j in taken]
         return out
 
     def walk(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

@@ -17,7 +17,9 @@ from pyspark.sql import functions as F
 
 #: Elements whose text is no text, and elements that end a line.
 SILENT = frozenset(("script", "style", "noscript", "nav", "template"))
-BLOCK = frozenset("address article aside blockquote br dd div dl dt fieldset figure footer form h1 h2 h3 h4 h5 h6 header hr li main ol p pre section table tbody tfoot thead title tr ul".split())
+BLOCK = frozenset((
+    "address", "article", "aside", "blockquote", "br", "dd", "div", "dl", "dt", "fieldset", "figure", "footer", "form", "h1", "h2", "h3", "h4", "h5", "h6", "header", "hr", "li", "main", "ol", "p", "pre", "section", "table", "tbody", "tfoot", "thead", "title", "tr", "ul",
+))
 #: The line between two pages of a text.
 PAGE_BREAK = "\n\f\n"
 
@@ -207,7 +209,7 @@ def document_text(name: str, content: bytes) -> tuple[str | None, str | None]:
         if kind in ("txt", "md"):
             return decoded(content), None
         return None, f"no reader for .{kind}"
-    except Exception as e:  # a broken file is a row with an error, not a lost job
+    except (ValueError, KeyError, zipfile.BadZipFile, ElementTree.ParseError, csv.Error, RecursionError) as e:  # a broken file is a row with an error, not a lost job
         return None, f"{type(e).__name__}: {e}"
 
 

@@ -199,6 +199,26 @@ def test_set_cover(spark):
     assert got == [("t", 2, 1), ("t", 3, 2), ("t", 4, 3), ("u", 5, 1)]
 
 
+def test_wildcard_duplicates_against_a_plain_walk(spark):
+    """A thousand made keys: anchors in order take every free row that equals them or is null wherever they are filled."""
+    rng = random.Random(43)
+    data, want = [], []
+    for g in range(1000):
+        own = [(f"k{g}", 50 * g + i, rng.choice(["a", "b", None]), rng.choice(["x", "y", None, ""]), rng.choice(["1", None])) for i in range(rng.randint(1, 8))]
+        data += own
+        free = list(own)
+        while free:
+            anchor = free[0]
+            blank = lambda v: v in (None, "")
+            taken = [r for r in free if all(blank(a) or blank(b) or a == b for a, b in zip(anchor[2:], r[2:]))]
+            best = max(taken, key=lambda r: (sum(not blank(v) for v in r), -r[1]))
+            want.append((best[1], anchor[1], len(taken)))
+            free = [r for r in free if r not in taken]
+    df = spark.createDataFrame(data, "k string, pos int, a string, b string, c string")
+    got = dedup.wildcard_duplicates(df, ["k"], ["a", "b", "c"], "pos").select("pos", "group_pos", "members")
+    assert rows(got) == sorted(want)
+
+
 def test_set_cover_against_a_plain_walk(spark):
     """A thousand made groups: each pick has the most new labels, then relevance, then the smaller id, hosts capped."""
     rng = random.Random(41)
