@@ -54,6 +54,21 @@ def cross_product(dimensions: Sequence[DataFrame], limit: int | None = None) ->
     return out
 
 
+def roster_names(targets: DataFrame, id_col: str, name_col: str, identity: Sequence[str]) -> DataFrame:
+    """``(id, form, head, words, namesakes, told_by)``: the dimension by which texts are scanned for targets.
+
+    ``form`` is the name as words in lower case and ``head`` its first; ``namesakes``
+    counts the other targets of the same form, and ``told_by`` names the identity
+    fields whose values differ among them, which a text must then tell.  Names
+    without a word are left out.
+    """
+    words = F.filter(F.split(F.lower(F.col(name_col)), r"[^a-z0-9]+"), lambda w: w != "")
+    t = targets.where(F.size(words) > 0).select(id_col, *identity, words.alias("_w")).withColumn("form", F.array_join("_w", " "))
+    kinds = t.groupBy("form").agg(F.count_distinct(id_col).alias("_n"), *(F.count_distinct(F.coalesce(F.col(c).cast("string"), F.lit(""))).alias(f"_k_{c}") for c in identity))
+    told = F.concat_ws(",", *(F.when(F.col(f"_k_{c}") > 1, F.lit(c)) for c in identity))
+    return t.join(broadcast_if_small(kinds), "form").select(id_col, "form", F.get("_w", F.lit(0)).alias("head"), F.size("_w").alias("words"), (F.col("_n") - 1).alias("namesakes"), told.alias("told_by"))
+
+
 def dictionary_hits(texts: DataFrame, names: DataFrame, id_col: str, text_col: str, name_id: str, name_col: str) -> DataFrame:
     """``(id, name_id, hits)``: how often each name stands in each text, as whole words.
 

@@ -4,7 +4,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from docketlake.functions import text, urls
-from docketlake.operators import ranking, screening
+from docketlake.operators import joins, ranking, screening
 from docketlake.plans import pipelines
 from docketlake.plans.common import ANSWERS_SQL, CLAIMS_SQL, answers, claims
 from docketlake.plans.registry import Registry, Tables
@@ -47,6 +47,15 @@ def cmp_search_inputs(t: Tables) -> DataFrame:
     return t.targets.where("name is not null").select("target_id", search.alias("search"), F.concat_ws(", ", "name", "state").alias("label"), F.size(web).cast("bigint").alias("configured"))
 
 
+@R.add("""
+with t as (select target_id, roster, state, list_filter(string_split_regex(lower(name), '[^a-z0-9]+'), lambda w: w <> '') as w from targets where name is not null), f as (select *, array_to_string(w, ' ') as form from t where len(w) > 0),
+k as (select form, count(distinct target_id) as n, count(distinct coalesce(roster, '')) as r, count(distinct coalesce(state, '')) as s from f group by form)
+select target_id, form, w[1] as head, len(w) as words, n - 1 as namesakes, concat_ws(',', case when r > 1 then 'roster' end, case when s > 1 then 'state' end) as told_by from f join k using (form)""")
+def jn_roster_names(t: Tables) -> DataFrame:
+    """CMP37: names of the roster with their heads, their namesakes and what tells these apart."""
+    return joins.roster_names(t.targets, "target_id", "name", ["roster", "state"])
+
+
 _BARE = "regexp_replace(lower({0}), '[^a-z0-9]+', '', 'g')"
 
 

@@ -243,6 +243,11 @@ def test_set_cover_against_a_plain_walk(spark):
     assert rows(ranking.set_cover(df, "g", "l", "r", "h", "id", 3, 2).select("g", "id", "pick")) == sorted(want)
 
 
+def test_roster_names(spark):
+    df = spark.createDataFrame([(1, "Oak County", "TX"), (2, "oak county ", "MO"), (3, "Elm", None), (4, " - ", "TX"), (5, None, "TX")], "id int, name string, state string")
+    assert rows(joins.roster_names(df, "id", "name", ["state"])) == [(1, "oak county", "oak", 2, 1, "state"), (2, "oak county", "oak", 2, 1, "state"), (3, "elm", "elm", 1, 0, "")]
+
+
 def test_place_within(spark):
     df = spark.createDataFrame([("b", 2), ("a", 5), (None, 1), ("a", 3), ("b", 9), (None, 0)], "g string, x int")
     assert sorted((str(r["g"]), r["x"], r["place"]) for r in ranking.place_within(df, ["g"], [F.col("x")]).collect()) == [("None", 0, 1), ("None", 1, 2), ("a", 3, 1), ("a", 5, 2), ("b", 2, 1), ("b", 9, 2)]
