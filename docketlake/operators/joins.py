@@ -95,29 +95,40 @@ def gram_pairs(df: DataFrame, id_col: str, grams: str, least: float, scope: Sequ
 
     Rows with the same grams are one class: its smallest id stands for it, and the
     others come out as ``copy`` of it.  Pairs of classes are ``near``.  Prefix filter:
-    grams are ordered from rare to common, and of a set of n only the first
+    grams are numbered from rare to common, and of a set of n only the first
     n - ceil(least * n) + 1 are joined, which no overlapping pair can miss; the
     whole sets are then compared.  Common grams thus make no bucket.
+
+    Classes and grams travel as numbers.  No side is ever broadcast: its shuffled
+    size, by which the planner would decide, is that of packed rows, and unpacked
+    they fill the driver.  Runs its jobs when called.
     """
+    from docketlake.operators.ranking import with_place
+
     base = df.where(F.size(grams) > 0).select(*scope, F.col(id_col).alias("_id"), F.array_sort(F.array_distinct(grams)).alias("_set"))
     rows = base.select(*scope, "_id", "_set", F.xxhash64("_set").alias("_h1"), F.xxhash64(F.lit(1), "_set").alias("_h2"))
-    sets = rows.groupBy(*scope, "_h1", "_h2").agg(F.min("_id").alias("_id"), F.first("_set").alias("_set"), F.count("*").alias("_rows"))
-    members = rows.select(*scope, "_h1", "_h2", F.col("_id").alias("_member")).join(sets.where("_rows > 1").select(*scope, "_h1", "_h2", "_id"), [*scope, "_h1", "_h2"]).where("_id != _member")
+    sets = cut(rows.groupBy(*scope, "_h1", "_h2").agg(F.min("_id").alias("_id"), F.first("_set").alias("_set"), F.count("*").alias("_rows")).withColumn("_no", F.monotonically_increasing_id()))
+    members = rows.select(*scope, "_h1", "_h2", F.col("_id").alias("_member")).join(sets.where("_rows > 1").select(*scope, "_h1", "_h2", "_id").hint("merge"), [*scope, "_h1", "_h2"]).where("_id != _member")
     copies = members.select(*scope, F.col("_id").alias("left_id"), F.col("_member").alias("right_id"), F.lit(1.0).alias("score"), F.lit("copy").alias("kind"))
-    sets = cut(sets.select(*scope, "_id", "_set"))
-    each = sets.select(*scope, "_id", F.size("_set").alias("_n"), F.explode("_set").alias("gram"))
+    each = sets.select(*scope, "_no", F.size("_set").alias("_n"), F.explode("_set").alias("gram"))
     counts = each.groupBy(*scope, "gram").agg(F.count("*").alias("times")).where("times > 1")
+    numbered = with_place(counts, [F.col("times"), F.col("gram"), *(F.col(c) for c in scope)], "_gram").drop("times")
     # a gram that no other class has joins nothing, but takes its place in the prefix
-    ordered = each.join(counts, [*scope, "gram"]).groupBy(*scope, "_id", "_n").agg(F.array_sort(F.collect_list(F.struct("times", "gram"))).alias("o"))
+    ordered = cut(each.join(numbered.hint("merge"), [*scope, "gram"]).groupBy("_no", "_n").agg(F.array_sort(F.collect_list("_gram")).alias("o")))
     own = F.col("_n") - F.size("o")
     prefix = F.slice("o", F.lit(1), F.greatest(F.lit(0), (F.col("_n") - F.ceil(F.col("_n") * least) + 1 - own).cast("int")))
-    a = ordered.select(*scope, F.explode(F.transform(prefix, lambda x: x["gram"])).alias("gram"), F.col("_id").alias("_small"), "_n")
-    b = ordered.select(*scope, F.explode(F.transform("o", lambda x: x["gram"])).alias("gram"), F.col("_id").alias("_large"), F.col("_n").alias("_m"))
-    # containment is by the smaller set, so its prefix meets all grams of the larger one; of equal sizes the smaller id leads
-    met = a.join(b, [*scope, "gram"]).where("_n < _m or (_n = _m and _small < _large)").groupBy(*scope, "_small", "_large").agg(F.lit(1).alias("_met"))
-    pairs = met.join(sets.select(*scope, F.col("_id").alias("_small"), F.col("_set").alias("_a")), [*scope, "_small"]).join(sets.select(*scope, F.col("_id").alias("_large"), F.col("_set").alias("_b")), [*scope, "_large"])
-    score = F.size(F.array_intersect("_a", "_b")) / F.size("_a")
-    near = pairs.select(*scope, F.least("_small", "_large").alias("left_id"), F.greatest("_small", "_large").alias("right_id"), score.alias("score")).where(F.col("score") >= least).withColumn("kind", F.lit("near"))
+    # containment is by the smaller set, so its prefix meets all grams of the larger one; equal sizes go by number
+    a = ordered.select(F.explode(prefix).alias("_gram"), F.col("_no").alias("_small"), "_n")
+    b = ordered.select(F.explode("o").alias("_gram"), F.col("_no").alias("_large"), F.col("_n").alias("_m"))
+    met = a.join(b.hint("merge"), "_gram").where("_n < _m or (_n = _m and _small < _large)").select("_small", "_large").distinct()
+    whole = lambda no, n, o: ordered.select(F.col("_no").alias(no), F.col("_n").alias(n), F.col("o").alias(o)).hint("merge")
+    pairs = met.join(whole("_small", "_n", "_a"), "_small").join(whole("_large", "_m", "_b"), "_large")
+    score = F.size(F.array_intersect("_a", "_b")) / F.col("_n")
+    scored = pairs.select("_small", "_large", score.alias("score")).where(F.col("score") >= least)
+    named = sets.select(*scope, "_no", "_id")
+    left = named.withColumnsRenamed({"_no": "_small", "_id": "_x"}).hint("merge")
+    right = named.select(F.col("_no").alias("_large"), F.col("_id").alias("_y")).hint("merge")
+    near = scored.join(left, "_small").join(right, "_large").select(*scope, F.least("_x", "_y").alias("left_id"), F.greatest("_x", "_y").alias("right_id"), "score", F.lit("near").alias("kind"))
     return near.unionByName(copies)
 
 

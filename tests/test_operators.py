@@ -118,6 +118,14 @@ def test_gram_pairs_against_all_pairs(spark):
     assert sorted(out) == want
 
 
+def test_gram_pairs_broadcast_nothing(spark):
+    """Shuffled rows are packed: a side that looks small to the planner may not fit the driver."""
+    sets = [(i, sorted({f"g{(i * k) % 23}" for k in range(1, 9)})) for i in range(60)]
+    pairs = joins.gram_pairs(spark.createDataFrame(sets, "id int, g array<string>"), "id", "g", 0.65)
+    assert pairs.collect()
+    assert "Broadcast" not in pairs._jdf.queryExecution().executedPlan().toString()
+
+
 def test_dictionary_hits(spark):
     texts = spark.createDataFrame([(1, "The Oak Grove county; oak grove!"), (2, None), (3, "")], "id int, t string")
     names = spark.createDataFrame([("a", "Oak Grove"), ("b", "Grove"), ("c", "")], "n string, name string")
