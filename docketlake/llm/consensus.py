@@ -9,8 +9,8 @@ each class, and votes are combined by its log-odds.  One who turns two classes r
 weighs for the other one, and one who always says the same weighs nothing.  All is solved
 from the pair rates in closed form; no likelihood is climbed.
 
-Answers stay in long form, one row per item and annotator.  Partners (j, k) are the
-ANCHORS annotators with the most answers; everything else holds for any number of both.
+Answers stay in long form, one row per item and annotator.  All annotators are partners
+(j, k); a pair that shares few items counts for little.
 """
 
 from __future__ import annotations
@@ -19,6 +19,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -28,8 +29,10 @@ from docketlake.session import broadcast_if_small, cut
 CLASSES = ("Yes", "No", "Sometimes", "Never", "NA")
 #: Written forms without case, spaces and punctuation.
 FORMS = {"yes": "Yes", "y": "Yes", "true": "Yes", "no": "No", "n": "No", "false": "No", "sometimes": "Sometimes", "never": "Never", "na": "NA", "notapplicable": "NA"}
-#: Annotators with the most answers, against which all annotators are measured; they make the triplets' partners.
-ANCHORS = 48
+#: Shared items from which on a pair of annotators counts in full; below, by the third power of its share of them.
+PLENTY = 30
+#: Pairs of answers that are counted at once.
+PAIRS_AT_ONCE = 1 << 21
 #: Rates are kept from 0 and 1 by this much.
 FLOOR = 0.005
 
@@ -62,33 +65,40 @@ def code_of(answer: Column) -> Column:
     return F.create_map(*(F.lit(x) for i, k in enumerate(CLASSES) for x in (k, i)))[answer]
 
 
-def anchors_in(answers: DataFrame) -> list[str]:
-    """The ANCHORS annotators with the most answers; ties go to the first by name."""
-    return [r[0] for r in answers.groupBy("annotator").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "annotator").limit(ANCHORS).collect()]
+def partners_in(answers: DataFrame) -> list[str]:
+    """All annotators, those with the most answers first, then by name; their number by their place here."""
+    return [r[0] for r in answers.groupBy("annotator").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "annotator").collect()]
 
 
-def pair_tables(answers: DataFrame, anchors: list[str]) -> DataFrame:
-    """``(annotator, at, n)``: how often an annotator answered a where anchor j answered b; at numbers (j, a, b).
+def pair_tables(answers: DataFrame, partners: list[str]) -> DataFrame:
+    """``(who, at, n)``: how often annotator ``who`` answered a where partner j answered b; at numbers (j, a, b).
 
-    The anchors' answers to an item make one short row, which meets the item's
-    answers; counts are combined per batch before the shuffle, so that neither an
-    item nor an annotator with a third of all answers is gathered anywhere.
+    An item's answers, one an annotator, make one short row; its pairs are counted
+    in slices of PAIRS_AT_ONCE and combined before the shuffle, so that no
+    annotator with a third of all answers is gathered anywhere.
     """
-    k, m = len(CLASSES), len(anchors)
-    of = [F.coalesce(F.max(F.when(F.col("annotator") == a, code_of(F.col("answer")))), F.lit(-1)).cast("tinyint") for a in anchors]
-    by_item = answers.where(F.col("annotator").isin(anchors)).groupBy("cluster_id", "field").agg(F.array(*of).alias("votes"))
-    met = answers.select("cluster_id", "field", "annotator", code_of(F.col("answer")).alias("own")).join(by_item, ["cluster_id", "field"]).select("annotator", "own", "votes")
+    k, m = len(CLASSES), len(partners)
+    places = answers.sparkSession.createDataFrame([(a, i) for i, a in enumerate(partners)], "annotator string, who int")
+    numbered = answers.join(broadcast_if_small(places), "annotator")
+    items = numbered.groupBy("cluster_id", "field").agg(F.collect_list(F.col("who") * k + code_of(F.col("answer"))).alias("votes")).select("votes")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            names = batch.column(0).dictionary_encode()
-            who, own = np.asarray(names.indices), np.asarray(batch.column(1)).astype(np.int64)
-            votes = np.asarray(batch.column(2).flatten()).reshape(-1, m).astype(np.int64)
-            row, j = np.nonzero(votes >= 0)
-            at, n = np.unique(((who[row].astype(np.int64) * m + j) * k + own[row]) * k + votes[row, j], return_counts=True)
-            yield pa.RecordBatch.from_arrays([names.dictionary.take(pa.array(at // (m * k * k))), pa.array((at % (m * k * k)).astype(np.int32)), pa.array(n)], names=["annotator", "at", "n"])
-
-    return met.mapInArrow(count, "annotator string, at int, n bigint").groupBy("annotator", "at").agg(F.sum("n").alias("n"))
+            votes = np.asarray(batch.column(0).flatten()).astype(np.int64)
+            size = np.asarray(pa.compute.list_value_length(batch.column(0))).astype(np.int64)
+            first, met = np.repeat(size.cumsum() - size, size), np.repeat(size, size)
+            upto = met.cumsum()
+            lo = 0
+            while lo < len(votes):
+                hi = max(lo + 1, int(np.searchsorted(upto, (upto[lo - 1] if lo else 0) + PAIRS_AT_ONCE, "right")))
+                n = met[lo:hi]
+                one = np.repeat(votes[lo:hi], n)
+                other = votes[np.repeat(first[lo:hi] - (n.cumsum() - n), n) + np.arange(n.sum())]
+                at, times = np.unique(((one // k * m + other // k) * k + one % k) * k + other % k, return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array((at // (m * k * k)).astype(np.int32)), pa.array((at % (m * k * k)).astype(np.int32)), pa.array(times)], names=["who", "at", "n"])
+                lo = hi
+
+    return items.mapInArrow(count, "who int, at int, n bigint").groupBy("who", "at").agg(F.sum("n").alias("n"))
 
 
 def moments(joint: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -101,23 +111,40 @@ def moments(joint: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return seen, per_class, np.where(seen > 0, (both.sum(-1) - chance) / np.maximum(1 - chance, 1e-6), 0)
 
 
-def triplets(mine: np.ndarray, seen: np.ndarray, theirs: np.ndarray, pair_seen: np.ndarray, me: int | None, least: float) -> float:
-    """Median over partners j, k of sqrt(C_ij C_ik / C_jk), signed as the agreements with partners at large; nan without any."""
-    enough = np.minimum(30, max(np.median(pair_seen[pair_seen > 0]) / 4, 1)) if (pair_seen > 0).any() else 1
-    usable = seen >= enough
-    if me is not None:
-        usable[me] = False
-    j, k = np.triu_indices(len(mine), 1)
-    ok = usable[j] & usable[k] & (pair_seen[j, k] >= enough) & (np.abs(theirs[j, k]) > least)
+def founded(seen: np.ndarray) -> np.ndarray:
+    """What pairs of annotators count for, by the items that they share."""
+    return (np.minimum(seen, PLENTY) / PLENTY) ** 3
+
+
+def middle(values: np.ndarray, weights: np.ndarray) -> float:
+    """Weighted median; between two values that share the middle, their mean."""
+    order = values.argsort(kind="stable")
+    upto = weights[order].cumsum()
+    half = upto[-1] / 2
+    low, high = np.searchsorted(upto, half * (1 - 1e-9)), np.searchsorted(upto, half * (1 + 1e-9))
+    return float(values[order[low]] + values[order[min(high, len(order) - 1)]]) / 2
+
+
+def triplets(mine: np.ndarray, seen: np.ndarray, theirs: np.ndarray, pairs: tuple[np.ndarray, np.ndarray, np.ndarray], me: int) -> float:
+    """Median over partners j, k of sqrt(C_ij C_ik / C_jk), signed as the agreements with partners at large; nan without any.
+
+    ``pairs``: j, k and what the pair counts for.
+    """
+    worth = founded(seen)
+    worth[me] = 0
+    j, k, shared = pairs
+    weights = worth[j] * worth[k] * shared
+    ok = weights > 0
     if not ok.any():
         return float("nan")
-    square = mine[j[ok]] * mine[k[ok]] / theirs[j[ok], k[ok]]
-    towards = (mine * np.where(usable, np.minimum(seen, 1e4), 0) * np.sign(theirs.sum(1))).sum()
-    return float(np.sqrt(max(np.median(square), 0.0)) * (1 if towards >= 0 else -1))
+    j, k = j[ok], k[ok]
+    square = mine[j] * mine[k] / theirs[j, k]
+    towards = (mine * worth * np.minimum(seen, 1e4) * np.sign(theirs.sum(1))).sum()
+    return float(np.sqrt(max(middle(square, weights[ok]), 0.0)) * (1 if towards >= 0 else -1))
 
 
 class Partners:
-    """What the anchors' own pair tables tell: agreements, class shares, and from them any annotator's rates."""
+    """What all annotators' pair tables tell: agreements, class shares, and from them each annotator's rates."""
 
     def __init__(self, joint: np.ndarray):
         self.joint = joint
@@ -125,6 +152,7 @@ class Partners:
         for x in (self.per_class, self.kappa):
             x[np.arange(len(joint)), np.arange(len(joint))] = 0
         np.fill_diagonal(self.seen, 0)
+        self.pairs = {None: self._pairs(self.kappa, 0.1)} | {c: self._pairs(self.per_class[:, :, c], 0.002) for c in range(len(CLASSES))}
         self.share = np.full(len(CLASSES), 1 / len(CLASSES))
         accuracy = np.array([self.accuracy(joint[i], i) for i in range(len(joint))])
         own = np.einsum("iiaa->ia", joint)
@@ -132,22 +160,27 @@ class Partners:
         if trusted.sum() > 0:
             self.share = np.clip(trusted / trusted.sum(), FLOOR, 1)
 
-    def accuracy(self, joint: np.ndarray, me: int | None) -> float:
+    def _pairs(self, theirs: np.ndarray, least: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Pairs j < k that share items and agree by more than ``least``, either way, and what they count for."""
+        j, k = np.nonzero(np.triu((self.seen > 0) & (np.abs(theirs) > least), 1))
+        return j, k, founded(self.seen[j, k])
+
+    def accuracy(self, joint: np.ndarray, me: int) -> float:
         """Accuracy beyond chance over all classes."""
         seen, _, kappa = moments(joint)
-        a = triplets(kappa, seen, self.kappa, self.seen, me, 0.1)
+        a = triplets(kappa, seen, self.kappa, self.pairs[None], me)
         return 0.5 if np.isnan(a) else float(np.clip(a, -0.2, 0.99))
 
-    def slope(self, joint: np.ndarray, me: int | None, c: int) -> float:
+    def slope(self, joint: np.ndarray, me: int, c: int) -> float:
         """How much more often an annotator names class c where it is true than where it is not."""
         seen, per_class, _ = moments(joint)
         p = self.share[c]
-        t = triplets(per_class[:, c], seen, self.per_class[:, :, c], self.seen, me, 0.002)
+        t = triplets(per_class[:, c], seen, self.per_class[:, :, c], self.pairs[c], me)
         # too rare a class to compare: as good as the annotator is at large
         return self.accuracy(joint, me) if np.isnan(t) else float(np.clip(t / np.sqrt(p * (1 - p)), -1, 1))
 
     def learn(self) -> Partners:
-        """The anchors' own slopes ``[j, c]``, with which they measure others."""
+        """The annotators' own slopes ``[j, c]``, with which they measure others."""
         own = np.einsum("iiaa->ia", self.joint)
         trust = np.clip([self.accuracy(j, i) for i, j in enumerate(self.joint)], 0, None) ** 2 * own.sum(1)
         for last in (False, False, True):
@@ -160,7 +193,7 @@ class Partners:
             self.share = share / share.sum()
         return self
 
-    def table(self, joint: np.ndarray, me: int | None) -> np.ndarray:
+    def table(self, joint: np.ndarray, me: int) -> np.ndarray:
         """``[c, a]``: how often an annotator answers a where c is true.
 
         That a goes with a partner's c beyond chance is the product of what a tells
@@ -174,11 +207,10 @@ class Partners:
         out = np.empty((k, k))
         for c, p in enumerate(self.share):
             ok = (seen >= 1) & (self.slopes[:, c] > 0.25)
-            if me is not None:
-                ok[me] = False
+            ok[me] = False
             if ok.any():
                 found = beyond[ok][:, :, c] / (self.slopes[ok, c] * p * (1 - p))[:, None]
-                weight = seen[ok] * self.slopes[ok, c] ** 2
+                weight = seen[ok] * founded(seen[ok]) * self.slopes[ok, c] ** 2
                 order = found.argsort(0)
                 heavy = (weight[order].cumsum(0) >= weight.sum() / 2).argmax(0)
                 extra = found[order[heavy, np.arange(k)], np.arange(k)]
@@ -188,13 +220,12 @@ class Partners:
         return out / out.sum(1, keepdims=True)
 
 
-def _tables(pairs: DataFrame, anchors: list[str]) -> np.ndarray:
-    """The anchors' own pair tables; ANCHORS squared small counts at most come to the driver."""
-    m, k = len(anchors), len(CLASSES)
+def _tables(pairs: DataFrame, m: int) -> np.ndarray:
+    """All pair tables ``[i, j, a, b]``; they come to the driver annotator by annotator, 25 counts for each two that share items."""
+    k = len(CLASSES)
     joint = np.zeros((m, m * k * k))
-    place = {a: i for i, a in enumerate(anchors)}
-    for annotator, at, n in pairs.where(F.col("annotator").isin(anchors)).collect():
-        joint[place[annotator], at] = n
+    for who, cells in pairs.groupBy("who").agg(F.collect_list(F.struct("at", "n")).alias("cells")).toLocalIterator():
+        joint[who, [c["at"] for c in cells]] = [c["n"] for c in cells]
     return joint.reshape(m, m, k, k)
 
 
@@ -203,30 +234,32 @@ def annotator_weights(answers: DataFrame) -> DataFrame:
 
     ``weights[a][c]`` is what answer a adds to the log-odds of class c.
     """
-    anchors = anchors_in(answers)
-    pairs = cut(pair_tables(answers, anchors))
-    partners = Partners(_tables(pairs, anchors)).learn()
-    shared = answers.sparkSession.sparkContext.broadcast((partners, {a: i for i, a in enumerate(anchors)}))
-    k, m = len(CLASSES), len(anchors)
+    names = partners_in(answers)
+    pairs = cut(pair_tables(answers, names))
+    joint = _tables(pairs, len(names))
+    partners = Partners(joint).learn()
+    partners.joint = None  # workers read their annotators' tables
+    shared = answers.sparkSession.sparkContext.broadcast((partners, names))
+    k, m = len(CLASSES), len(names)
 
     def weigh(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, place = shared.value
+        known, names = shared.value
         for batch in batches:
             accuracy, expected, weights = [], [], []
-            for name, cells in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            for i, cells in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 joint = np.zeros(m * k * k)
                 for c in cells:
                     joint[c["at"]] = c["n"]
                 joint = joint.reshape(m, k, k)
-                table = known.table(joint, place.get(name))
+                table = known.table(joint, i)
                 # against the annotator's answers at large, so that an answer which tells nothing adds nothing
                 weights.append(np.log(table / (known.share @ table)).T.tolist())
-                accuracy.append(known.accuracy(joint, place.get(name)))
+                accuracy.append(known.accuracy(joint, i))
                 expected.append(float((known.share * np.diag(table)).sum()))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(accuracy, pa.float64()), pa.array(expected, pa.float64()), pa.array(weights, pa.list_(pa.list_(pa.float64())))], names=["annotator", "accuracy", "expected_correct", "weights"])
+            yield pa.RecordBatch.from_arrays([pa.array([names[i] for i in batch.column(0).to_pylist()], pa.string()), pa.array(accuracy, pa.float64()), pa.array(expected, pa.float64()), pa.array(weights, pa.list_(pa.list_(pa.float64())))], names=["annotator", "accuracy", "expected_correct", "weights"])
 
     given = answers.groupBy("annotator").agg(F.count("*").alias("answers"))
-    found = pairs.groupBy("annotator").agg(F.collect_list(F.struct("at", "n")).alias("cells")).mapInArrow(weigh, "annotator string, accuracy double, expected_correct double, weights array<array<double>>")
+    found = pairs.groupBy("who").agg(F.collect_list(F.struct("at", "n")).alias("cells")).mapInArrow(weigh, "annotator string, accuracy double, expected_correct double, weights array<array<double>>")
     prior = F.array(*(F.lit(float(x)) for x in np.log(partners.share)))
     return found.join(given, "annotator").withColumn("prior", prior)
 

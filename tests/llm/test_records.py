@@ -336,6 +336,24 @@ def test_more_annotators_than_anchors(spark):
     assert consensus.annotator_reliability(spark.createDataFrame(data, CELL)).count() == len({d[2] for d in data})
 
 
+def test_every_annotator_is_a_partner(spark):
+    """Nine annotators who share nothing with the 48 busiest are measured against each other."""
+    rng = np.random.default_rng(5)
+    data, truth = [], {}
+    for i in range(220):
+        t = rng.choice(["Yes", "No", "Never"], p=[0.4, 0.35, 0.25])
+        busy = i < 120
+        if not busy:
+            truth[i] = t
+        for s in range(48 if busy else 9):
+            a = t if rng.random() < 0.9 else rng.choice(["Yes", "No", "Never"])
+            # most of the nine say one and the same
+            value = a if busy or s < 4 else "Yes" if rng.random() < 0.97 else "No"
+            data.append((i, "f", f"{'a' if busy else 'b'}{s}", value, True, datetime(2024, 1, 1), ""))
+    got = {r["cluster_id"]: r["value"] for r in consensus.label_consensus(spark.createDataFrame(data, CELL)).collect()}
+    assert np.mean([got[i] == truth[i] for i in truth]) > 0.95
+
+
 def test_weights_decide_against_the_majority(spark):
     """Three sources that turn Yes and No round outvote two good ones unless they are weighed."""
     rng = np.random.default_rng(5)
