@@ -1,14 +1,12 @@
 """Best representative of each duplicate group, field by field (problem 1).
 
-Method: token-level consensus.  The values of a group are aligned progressively, every
-column of the alignment is voted on with the members' weights, and the existing
-value closest to the voted consensus survives.
+``survivors``: members are ranked (scope, date, completeness, id) and the value of the
+first-ranked one survives.  The rank leaves no tie, so nothing is left to vote on: it is
+one aggregate, which combines before the shuffle.
 
-``survivors``: members are ranked (scope, date, completeness, id) and the wanted survivor
-is the first-ranked value, so the weights are dominant: rank r weighs BASE ** -r, more
-than all later ranks together.  The vote can then not overrule the rank; only the head
-of a group can move it, and a group of any size is folded, before the shuffle, to the
-best member of each of BUCKETS value buckets without a change of the result.
+Method: token-level consensus, where values are voted on.  The values of a group are
+aligned, every column of the alignment is voted on with the members' weights, and the
+existing value closest to the voted consensus survives.
 
 ``consensus_values``: weights are graded by scope, date and score and add up over the
 members that give a value, so that many may overrule one.  All different values of a
@@ -18,8 +16,6 @@ voted on by an aggregate, and no group is ever gathered.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -27,10 +23,6 @@ from pyspark.sql import functions as F
 from docketlake.session import cut
 
 FIELDS = ("online_permitting", "permit_fee", "review_days", "setback_ft", "contact_office", "required_documents")
-#: Weight of a rank over the next one; above 2 a rank outweighs all later ones.
-BASE = 3.0
-#: Different values of a field that a group sends to the alignment at most.
-BUCKETS = 4
 #: Placeholders that answer nothing, without case and spaces.
 PLACEHOLDERS = (
     "", "-", "--", "---", "–", "—", "?", "??", ".", "...", "…", "*", "n/a", "na", "n.a.", "n.a", "#n/a", "n/d", "nan", "null", "nil", "unknown", "unk", "unspecified",
@@ -104,17 +96,15 @@ def rule_observations(observations: DataFrame, results: DataFrame) -> DataFrame:
 
 
 def fold_groups(rows: DataFrame) -> DataFrame:
-    """One row per group of two or more: its id and size, and for each field the best
-    members of the value buckets, best first, as ``array<struct<rank.., value>>``.
+    """One row per group of two or more: its id and size, and for each field its best
+    member as ``struct<rank.., value>``, null if none fills it.
 
     Repeated rows of one obs_id count once.  All of it is combined before the
     shuffle, so that a hot group arrives as one row per task.
     """
-    bucket = lambda f: F.pmod(F.xxhash64(F.lower(F.trim(F.col(f)))), F.lit(BUCKETS))
     rank = lambda f: F.struct("own", "dated", "score", (-F.col("obs_id")).alias("minus_id"), F.col(f).alias("value"))
-    best = [F.max(F.when(F.col(f).isNotNull() & (bucket(f) == b), rank(f))).alias(f"{f}_{b}") for f in FIELDS for b in range(BUCKETS)]
-    g = rows.groupBy("target", "section", "permit").agg(F.min("obs_id").alias("group_id"), F.max("obs_id").alias("last_id"), F.count("*").alias("members"), *best).where("group_id < last_id")
-    return g.select("group_id", "target", "section", "permit", "members", *(F.reverse(F.array_sort(F.array_compact(F.array(*(f"{f}_{b}" for b in range(BUCKETS)))))).alias(f) for f in FIELDS))
+    best = [F.max(F.when(F.col(f).isNotNull(), rank(f))).alias(f) for f in FIELDS]
+    return rows.groupBy("target", "section", "permit").agg(F.min("obs_id").alias("group_id"), F.max("obs_id").alias("last_id"), F.count("*").alias("members"), *best).where("group_id < last_id").drop("last_id")
 
 
 def align(profile: list[list[str | None]], tokens: list[str]) -> list[list[str | None]]:
@@ -185,25 +175,6 @@ def consensus_index(values: list[str], weights: list[float]) -> int:
     return away.index(min(away))
 
 
-def _choose(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-    weights = [BASE**-r for r in range(BUCKETS)]
-    known: dict[tuple, int] = {}
-    for values in batches:
-        out = []
-        for v in values:
-            key = tuple(v)
-            if key not in known:
-                if len(known) > 100_000:
-                    known.clear()
-                known[key] = consensus_index(list(key), weights)
-            out.append(known[key])
-        yield pd.Series(out, dtype="int32")
-
-
-def _chosen(values: Column) -> Column:
-    return F.pandas_udf(_choose, "int")(values)
-
-
 def survivors(observations: DataFrame, results: DataFrame) -> DataFrame:
     """``(group_id, target, section, permit, members, field, obs_id, value)``: the surviving value of each
     field that a member of a group of two or more fills.
@@ -212,11 +183,10 @@ def survivors(observations: DataFrame, results: DataFrame) -> DataFrame:
     empty result.  Other columns of the inputs are not read.
     """
     folded = fold_groups(rule_observations(observations, results))
-    entries = F.array(*(F.struct(F.lit(f).alias("field"), F.col(f).alias("ranked")) for f in FIELDS))
-    long = folded.select("group_id", "target", "section", "permit", "members", F.explode(entries).alias("e")).select("group_id", "target", "section", "permit", "members", "e.field", "e.ranked").where(F.size("ranked") > 0)
-    at = long.withColumn("chosen", _chosen(F.transform("ranked", lambda r: r["value"])))
-    best = F.get("ranked", F.col("chosen"))
-    return at.select("group_id", "target", "section", "permit", "members", "field", (-best["minus_id"]).alias("obs_id"), best["value"].alias("value"))
+    entries = F.array(*(F.struct(F.lit(f).alias("field"), F.col(f).alias("best")) for f in FIELDS))
+    key = ["group_id", "target", "section", "permit", "members"]
+    long = folded.select(*key, F.explode(entries).alias("e")).where("e.best is not null")
+    return long.select(*key, "e.field", (-F.col("e.best.minus_id")).alias("obs_id"), F.col("e.best.value").alias("value"))
 
 
 def surviving_records(observations: DataFrame, results: DataFrame) -> DataFrame:

@@ -66,6 +66,14 @@ def test_survivors_against_brute_force(spark):
     assert rows(got.select("group_id", "obs_id")) == sorted(want)
 
 
+def test_rank_alone_picks_survivors(spark):
+    """The rank leaves nothing to vote on, so no vote is held; all values of a group are ranked."""
+    data = [obs(i, "1-1.1", "p", {"contact_office": f"office {i}"}, "target", f"2024-01-{i:02}") for i in range(1, 29)]
+    got = survivors.survivors(spark.createDataFrame(data, OBS), spark.createDataFrame([], RES))
+    assert rows(got.select("group_id", "field", "obs_id", "value")) == [(1, "contact_office", 28, "office 28")]
+    assert "Python" not in got._jdf.queryExecution().executedPlan().toString()
+
+
 def test_consensus_by_tokens():
     assert survivors.consensus_index(["a b c", "a x c", "a b d"], [1, 1, 1]) == 0
     assert survivors.consensus_index(["z", "a b", "a b"], [1, 1, 1]) == 1
