@@ -134,11 +134,6 @@ def selected_pages(selections: DataFrame, pages: DataFrame) -> DataFrame:
     return chosen.select("selection_id", "max_chars", "overlap_chars", "source_id", "page", "start", "chars", (F.sum("chars").over(w) - F.col("chars")).alias("at"))
 
 
-def oversized(selections: DataFrame, texts: DataFrame) -> DataFrame:
-    """``(selection_id)`` of the selections whose selected text is longer than max_chars (null: never)."""
-    return selected_pages(selections, page_table(texts)).groupBy("selection_id").agg(F.sum("chars").alias("total"), F.first("max_chars").alias("limit")).where("total > limit").select("selection_id")
-
-
 def boundaries(ranges: DataFrame, range_chars: int = RANGE_CHARS) -> DataFrame:
     """``(source_id, offset, strength)``: offsets where a new piece may begin, by the range that owns them."""
 
@@ -186,6 +181,28 @@ def cut_points(marks: DataFrame, items: DataFrame) -> DataFrame:
     return pieces.unionByName(head).unionByName(whole).select("item", F.col("no").alias("piece_no"), F.greatest("start", F.lit(0)).alias("start"), "stop")
 
 
+def planned(chosen: DataFrame, ranges: DataFrame, range_chars: int = RANGE_CHARS) -> DataFrame:
+    """``(item, piece_no, start, stop)``: where the selected pages of every selection are cut, by the boundaries of their ranges."""
+    filled = chosen.where("chars > 0")
+    items = filled.groupBy(F.col("selection_id").alias("item")).agg(F.sum("chars").alias("total"), F.first("max_chars").alias("max_chars"), F.first("overlap_chars").alias("overlap_chars"))
+    inside = filled.join(boundaries(ranges, range_chars), "source_id").where("offset >= start and offset < start + chars")
+    marks = inside.select(F.col("selection_id").alias("item"), (F.col("at") + F.col("offset") - F.col("start")).alias("at"), F.when(F.col("offset") == F.col("start"), F.lit(HEADING)).otherwise(F.col("strength")).alias("strength"))
+    marks = marks.unionByName(filled.select(F.col("selection_id").alias("item"), "at", F.lit(HEADING).alias("strength")))
+    return cut_points(marks, items)
+
+
+def oversized(selections: DataFrame, texts: DataFrame, range_chars: int = RANGE_CHARS, halo: int = HALO) -> DataFrame:
+    """``(selection_id)`` of the selections whose selected text is longer than max_chars (null: never).
+
+    These are the selections that are cut into more than one piece, and those that
+    a max_chars of zero or less leaves no piece for.
+    """
+    chosen = selected_pages(selections, page_table(texts, range_chars))
+    parted = planned(chosen, ranges_of(texts, range_chars, halo), range_chars).where("piece_no = 2").select(F.col("item").alias("selection_id"))
+    no_room = chosen.where("max_chars <= 0").groupBy("selection_id").agg(F.sum("chars").alias("total"), F.first("max_chars").alias("limit")).where("total > limit")
+    return parted.unionByName(no_room.select("selection_id"))
+
+
 def split_selections(selections: DataFrame, texts: DataFrame, range_chars: int = RANGE_CHARS, halo: int = HALO) -> DataFrame:
     """``(selection_id, piece_no, start_char, end_char, piece)``: the selected text of every selection in order.
 
@@ -196,11 +213,7 @@ def split_selections(selections: DataFrame, texts: DataFrame, range_chars: int =
     """
     ranges = ranges_of(texts, range_chars, halo)
     chosen = selected_pages(selections, page_table(texts, range_chars)).where("chars > 0")
-    items = chosen.groupBy(F.col("selection_id").alias("item")).agg(F.sum("chars").alias("total"), F.first("max_chars").alias("max_chars"), F.first("overlap_chars").alias("overlap_chars"))
-    inside = chosen.join(boundaries(ranges, range_chars), "source_id").where("offset >= start and offset < start + chars")
-    marks = inside.select(F.col("selection_id").alias("item"), (F.col("at") + F.col("offset") - F.col("start")).alias("at"), F.when(F.col("offset") == F.col("start"), F.lit(HEADING)).otherwise(F.col("strength")).alias("strength"))
-    marks = marks.unionByName(chosen.select(F.col("selection_id").alias("item"), "at", F.lit(HEADING).alias("strength")))
-    cuts = cut_points(marks, items)
+    cuts = planned(chosen, ranges, range_chars)
     # slices of pages by offset, then the ranges that hold them
     slices = cuts.withColumnRenamed("item", "selection_id").withColumnsRenamed({"start": "from_char", "stop": "to_char"}).join(chosen, "selection_id").where("at < to_char and at + chars > from_char")
     slices = slices.select("selection_id", "piece_no", "from_char", "to_char", "source_id", (F.col("start") + F.greatest(F.col("from_char") - F.col("at"), F.lit(0))).alias("lo"), (F.col("start") + F.least(F.col("to_char") - F.col("at"), F.col("chars"))).alias("hi"))

@@ -202,6 +202,16 @@ def test_oversized_and_pages(spark):
     assert pieces.oversized(df.limit(0), texts).count() == 0
 
 
+def test_oversized_are_the_selections_that_are_cut(spark):
+    texts = spark.createDataFrame([(1, "One two. Three four.\n\nFive six seven.", 1), (2, "abc", 1), (3, "", 1)], TXT)
+    df = spark.createDataFrame([(n, s, None, m, o, "") for n, (s, m, o) in enumerate([(1, 10, 2), (1, 1, 0), (1, 37, 0), (1, 36, 0), (1, None, 0), (2, 0, 0), (2, 3, 9), (2, 2, None), (3, 0, 0), (3, -1, 0)], 1)], SEL)
+    got = pieces.oversized(df, texts)
+    cut = pieces.split_selections(df, texts).where("piece_no = 2")
+    assert rows(got) == sorted([*rows(cut.select("selection_id")), (6,), (10,)]) == [(1,), (2,), (4,), (6,), (8,), (10,)]
+    # they come through the boundaries of the ranges
+    assert "strength" in got._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_pieces_cover_the_text(spark):
     rng = random.Random(6)
     body = "\n\n".join(" ".join(rng.choice(["solar", "permit", "fee.", "A", "review", "é"]) for _ in range(rng.randint(5, 40))) for _ in range(30))
